@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from sheafwork.llm.common import item_rows
 from sheafwork.llm.lookalikes import normalise_texts, rewritten_fields
+from sheafwork.llm.neardup import duplicate_groups, duplicate_pairs
+from sheafwork.llm.mixing import mix
+from sheafwork.llm.packing import pack, utilisation
+from sheafwork.llm.repeated_lines import repeated_lines, without_repeated_lines
 from sheafwork.llm.splitting import split_items
 from sheafwork.llm.textstats import text_statistics
+from sheafwork.llm.tokens import token_sizes
 from sheafwork.plans.registry import Registry, table
 
 LLM = Registry()
@@ -49,6 +54,22 @@ def p3_normalised(spark, sf):
     return normalise_texts(table(spark, sf, "extracted_filings").select("filename", *_P3), _P3)
 
 
+def _near_texts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = item_rows(table(spark, sf, "extracted_filings"), ["item_1", "item_1a"], name="field")
+    return rows.withColumnRenamed("filename", "key")
+
+
+@LLM.query()
+def p4_found(spark, sf):
+    pairs = duplicate_pairs(_near_texts(spark, sf), threshold=0.6)
+    return pairs.select(F.col("key_a").alias("filename_a"), F.col("key_b").alias("filename_b")).distinct()
+
+
+@LLM.query()
+def p4_groups(spark, sf):
+    return duplicate_groups(_near_texts(spark, sf), threshold=0.6).withColumnRenamed("key", "filename")
+
+
 def _statistics(spark: SparkSession, sf: str) -> DataFrame:
     return text_statistics(item_rows(table(spark, sf, "extracted_filings"), ["item_6", "item_7", "item_8"]), ["filename", "item_name"])
 
@@ -61,3 +82,75 @@ def p6_found(spark, sf):
 @LLM.query()
 def p6_statistics(spark, sf):
     return _statistics(spark, sf).distinct()
+
+
+def _source_items(spark: SparkSession, sf: str) -> DataFrame:
+    return item_rows(table(spark, sf, "extracted_filings"), ["item_6", "item_7"], extra=("cik",))
+
+
+@LLM.query(
+    """
+WITH i AS (SELECT DISTINCT * FROM (SELECT cik, filename, 'item_6' AS item_name, item_6 AS t FROM extracted_filings
+  UNION ALL SELECT cik, filename, 'item_7', item_7 FROM extracted_filings) WHERE t IS NOT NULL),
+l AS (SELECT regexp_replace(trim(cik), '^0+(.)', '\\1') AS cik, filename, item_name, string_split(t, chr(10)) AS ls FROM i),
+n AS (SELECT cik, filename, item_name, unnest(ls) AS line, generate_subscripts(ls, 1)::int AS line_no FROM l),
+k AS (SELECT *, lower(trim(regexp_replace(line, '[ \t\r]+', ' ', 'g'))) AS key FROM n)
+SELECT DISTINCT filename, item_name, line_no FROM k
+JOIN (SELECT cik, key FROM k WHERE key <> '' GROUP BY cik, key HAVING count(DISTINCT filename) >= 4) h USING (cik, key)"""
+)
+def p7_found(spark, sf):
+    return repeated_lines(_source_items(spark, sf), "cik", "filename").select("filename", "item_name", "line_no")
+
+
+@LLM.query()
+def p7_cleaned(spark, sf):
+    return without_repeated_lines(_source_items(spark, sf), "cik", "filename").distinct()
+
+
+def _sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return token_sizes(table(spark, sf, "documents"), ["doc_id"])
+
+
+def _pack_settings(spark: SparkSession, sf: str) -> tuple[int, int]:
+    rows = table(spark, sf, "pack_settings").filter(F.col("setting_name").isin("capacity", "separator")).limit(10).collect()
+    known = {r.setting_name: r.tokens for r in rows}
+    return known["capacity"], known.get("separator", 0)
+
+
+@LLM.query()
+def p8_found(spark, sf):
+    capacity, separator = _pack_settings(spark, sf)
+    packed = pack(_sizes(spark, sf), capacity, separator)
+    return packed.filter(F.col("n_parts") > 1).select("doc_id").distinct()
+
+
+@LLM.query()
+def p8_containers(spark, sf):
+    return pack(_sizes(spark, sf), *_pack_settings(spark, sf))
+
+
+@LLM.query()
+def p8_utilisation(spark, sf):
+    capacity, separator = _pack_settings(spark, sf)
+    return utilisation(pack(_sizes(spark, sf), capacity, separator), capacity, separator)
+
+
+def _mixed(spark: SparkSession, sf: str, total: float | None = None) -> tuple[DataFrame, DataFrame]:
+    sizes = token_sizes(table(spark, sf, "documents"), ["doc_id", "source"])
+    return mix(sizes, table(spark, sf, "mix_targets"), total=total)
+
+
+@LLM.query()
+def p9_selection(spark, sf):
+    return _mixed(spark, sf)[0]
+
+
+@LLM.query()
+def p9_report(spark, sf):
+    return _mixed(spark, sf)[1]
+
+
+@LLM.query()
+def p9_clamped_report(spark, sf):
+    """A total no source mix can reach with every share held: small sources are clamped."""
+    return _mixed(spark, sf, total=float(table(spark, sf, "documents").agg(F.sum("n_chars")).first()[0]) / 5)[1]
