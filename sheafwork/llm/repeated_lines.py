@@ -58,8 +58,8 @@ def repeated_lines(rows: DataFrame, source: str, doc: str, part: str = "item_nam
     """
     lines = document_lines(rows, source, doc, part, text)
     hot = repeated_keys(lines, min_documents)
-    match = [lines[c].eqNullSafe(hot[c]) if c == "src" else lines[c] == hot[c] for c in ("src", "key", "key2")]
-    found = lines.join(hot, match).select(lines.src.alias(source), F.col("doc").alias(doc), F.col("part").alias(part), "line_no", "n_documents")
+    match = F.expr("l.src <=> h.src AND l.key = h.key AND l.key2 = h.key2")
+    found = lines.alias("l").join(hot.alias("h"), match).select(F.col("l.src").alias(source), F.col("l.doc").alias(doc), F.col("l.part").alias(part), "l.line_no", "h.n_documents")
     return found.distinct()
 
 
