@@ -10,6 +10,7 @@ from sheafwork.llm.lookalikes import normalise_texts, rewritten_fields
 from sheafwork.llm.neardup import duplicate_groups, duplicate_pairs
 from sheafwork.llm.mixing import mix
 from sheafwork.llm.packing import pack, utilisation
+from sheafwork.llm.reading import reading_levels
 from sheafwork.llm.repeated_lines import repeated_lines, without_repeated_lines
 from sheafwork.llm.splitting import split_items
 from sheafwork.llm.textstats import text_statistics
@@ -154,3 +155,27 @@ def p9_report(spark, sf):
 def p9_clamped_report(spark, sf):
     """A total no source mix can reach with every share held: small sources are clamped."""
     return _mixed(spark, sf, total=float(table(spark, sf, "documents").agg(F.sum("n_chars")).first()[0]) / 5)[1]
+
+
+def _levels(spark: SparkSession, sf: str) -> DataFrame:
+    return reading_levels(table(spark, sf, "documents"), table(spark, sf, "reading_labels"))
+
+
+@LLM.query()
+def p10_found(spark, sf):
+    # the calibrated level leaves the demanding half; the bounds of the definition decide
+    demanding = _levels(spark, sf).filter(F.col("is_english_prose") & (F.col("reading_level") >= 4))
+    return demanding.filter((F.col("mean_sentence_words") > 30) & (F.col("long_word_share") > 0.25)).select("doc_id")
+
+
+@LLM.query()
+def p10_levels(spark, sf):
+    return _levels(spark, sf)
+
+
+@LLM.query()
+def p10_profile(spark, sf):
+    levels = _levels(spark, sf)
+    return levels.groupBy("reading_level", "is_english_prose").agg(
+        F.count("*").alias("n_documents"), F.sum("n_words").alias("n_words"), F.avg("mean_sentence_words").alias("mean_sentence_words"), F.avg("long_word_share").alias("long_word_share")
+    )
