@@ -2,27 +2,28 @@
 
 A text's set is its distinct runs of consecutive words, as 64-bit hashes.  With
 the runs in one global order, two sets of Jaccard similarity ``t`` or more share
-a member of their prefixes, the first ``n - ceil(t * n) + 1`` runs of each.  The
-order is by the number of texts a run occurs in, so prefixes are rare runs; runs
-of a single text come first and can match nothing, so they need no posting.
+a member of their prefixes: the first ``n - ceil(t * n) + 1`` runs of the larger
+and the first ``n - ceil(2 * t / (1 + t) * n) + 1`` of the smaller.  The order is
+by the number of texts a run occurs in, so prefixes are rare runs; runs of a
+single text come first and can match nothing, so they need no posting.
 
 1.  Texts are cut into runs once.  Runs travel as packed arrays to the bucket of
     their hash, where occurrences are counted, and the counts of the shared ones
     travel back to the batch of texts they came from.
 2.  Texts with equal size and equal posted prefix, all exact copies among them,
-    collapse into one group.  Groups, not texts, are joined on the posted runs
-    and filtered by size and by the position of the match.
+    collapse into one group.  Groups, not texts, are posted, again as packed
+    arrays, and joined on the posted runs, filtered by size and position.
 3.  Members of the groups are expanded to their different sets, and each pair of
     sets is verified exactly.
 
-Nothing is sampled or capped and no list of a run's texts is dropped.
+Nothing is sampled or capped and no list of a run's texts is dropped.  A list
+longer than ``LIST_BLOCK`` is cut into blocks whose pairs are separate tasks.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +44,10 @@ _SHIFT = np.uint64(31)
 BATCH_TEXTS, BATCH_CHARS = 4096, 8_000_000
 #: runs counted together in one bucket, about
 BUCKET_RUNS = 1_500_000
-#: up to so many texts (16 bytes each) the list of texts to verify is broadcast; beyond it joins by shuffle
-BROADCAST_TEXTS = 500_000
+#: entries of one run's list that are paired at a time
+LIST_BLOCK = 2000
+#: up to so many rows (24 bytes each) the list of texts to verify is broadcast; beyond it joins by shuffle
+BROADCAST_ROWS = 500_000
 
 
 def words_of(text: str) -> list[str]:
@@ -87,11 +90,52 @@ def _signature(runs: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(runs.tobytes())
 
 
-_PACK = "bucket bigint, batch string, docs binary, runs binary, owners binary"
+def field_salt(field: str) -> np.uint64:
+    """Runs of different fields never meet."""
+    return np.uint64(xxhash.xxh64_intdigest(field))
+
+
+_PACKED = "kind int, bucket bigint, batch string, a binary, b binary"
+_KINDS = [pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
+#: kinds of packed rows: the texts of a batch, runs of a bucket, runs paired within a block
+TEXTS, RUNS, BLOCKS = 0, 1, 2
+
+
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _KINDS)], names=["kind", "bucket", "batch", "a", "b"])
+
+
+def _ipc(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _by_bucket(values: np.ndarray, owner: np.ndarray, n_owners: int, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(bucket, positions of its values with owners in order, values per owner); ``owner`` must ascend."""
+    bucket = (values % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in range(buckets):
+        at = order[ends[b] : ends[b + 1]]
+        if len(at):
+            yield b, at, np.bincount(owner[at], minlength=n_owners)
+
+
+def _small(counts: np.ndarray) -> bytes:
+    """Counts in the least number of bytes, which the first byte tells."""
+    width = 1 if counts.max(initial=0) < 256 else 2 if counts.max() < 65536 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _unsmall(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{blob[0]}", offset=1).astype(np.int64)
 
 
 def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Texts to rows of packed runs per bucket, and one row with the batch's texts (bucket < 0)."""
+    """Texts to rows of packed runs per bucket, and one row with the batch's texts."""
     hasher = RunHasher(k)
     task = TaskContext.get().partitionId()
     number = 0
@@ -101,21 +145,11 @@ def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: in
         name = f"{task}-{number}"
         number += 1
         runs = np.concatenate(sets)
-        owners = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
-        bucket = (runs % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        rest = (runs // np.uint64(buckets)).astype(np.uint32)[order]
-        owners = owners[order]
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         table = pa.table({"key": [d[0] for d in docs], "field": [d[1] for d in docs], "n": pa.array([len(s) for s in sets], pa.int32()), "sig": [_signature(s) for s in sets]})
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as w:
-            w.write_table(table)
-        rows = [(-1 - (xxhash.xxh32_intdigest(name) % buckets), name, sink.getvalue().to_pybytes(), None, None)]
-        for b in range(buckets):
-            i, j = ends[b], ends[b + 1]
-            if i < j:
-                rows.append((b, name, None, rest[i:j].tobytes(), owners[i:j].tobytes()))
+        rows = [(TEXTS, xxhash.xxh32_intdigest(name) % buckets, name, _ipc(table), None)]
+        rest = (runs // np.uint64(buckets)).astype(np.uint32)
+        rows += [(RUNS, b, name, rest[at].tobytes(), _small(counts)) for b, at, counts in _by_bucket(runs, owner, len(sets), buckets)]
         return _packed(rows)
 
     docs, sets, chars = [], [], 0
@@ -125,7 +159,7 @@ def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: in
             if len(words) < max(min_words, k):
                 continue
             docs.append((key, field))
-            sets.append(hasher(words))
+            sets.append(hasher(words) ^ field_salt(field))
             chars += len(text)
             if len(docs) == BATCH_TEXTS or chars > BATCH_CHARS:
                 yield flush(docs, sets)
@@ -134,165 +168,223 @@ def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: in
         yield flush(docs, sets)
 
 
-def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * 5
-    types = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["bucket", "batch", "docs", "runs", "owners"])
-
-
 def _count(table: pa.Table) -> pa.Table:
     """One bucket: how often each run occurs; the runs of more than one text go back to their batches.
 
-    ``runs`` then holds the run's remainder (4 bytes) and ``owners`` owner (2 bytes)
-    and the binary logarithm scale of its count (1 byte), a function of the run alone.
+    ``a`` then holds the runs' remainders (4 bytes each) followed by a byte each
+    that grades the count, a function of the run alone.
     """
-    bucket = table.column("bucket")[0].as_py()
-    if bucket < 0:
+    if table.column("kind")[0].as_py() == TEXTS:
         return table
-    names = table.column("batch").to_pylist()
-    runs = [np.frombuffer(x, np.uint32) for x in table.column("runs").to_pylist()]
-    owners = [np.frombuffer(x, np.uint16) for x in table.column("owners").to_pylist()]
+    bucket = table.column("bucket")[0].as_py()
+    runs = [np.frombuffer(x, np.uint32) for x in table.column("a").to_pylist()]
     every = np.concatenate(runs)
     order = np.argsort(every, kind="stable")
     ordered = every[order]
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     counts = np.diff(np.r_[starts, len(ordered)])
-    df = np.empty(len(every), dtype=np.int64)
-    df[order] = np.repeat(counts, counts)
     # small counts stay exact, large ones are told apart by eighths of a power of two
-    grade = np.where(df < 32, df, np.minimum(255, 32 + np.floor(8 * np.log2(np.maximum(df, 32) / 32)))).astype(np.uint8)
+    level = np.where(counts < 32, counts, np.minimum(255, 32 + np.floor(8 * np.log2(np.maximum(counts, 32) / 32)))).astype(np.uint8)
+    grade = np.empty(len(every), dtype=np.uint8)
+    grade[order] = np.repeat(level, counts)
     out, at = [], 0
-    for name, r, o in zip(names, runs, owners):
+    for name, r, blob in zip(table.column("batch").to_pylist(), runs, table.column("b").to_pylist()):
         g = grade[at : at + len(r)]
         at += len(r)
         keep = g > 1
         if keep.any():
-            out.append((bucket, name, None, r[keep].tobytes(), o[keep].tobytes() + g[keep].tobytes()))
+            per = _unsmall(blob)
+            left = np.bincount(np.repeat(np.arange(len(per)), per)[keep], minlength=len(per))
+            out.append((RUNS, bucket, name, r[keep].tobytes() + g[keep].tobytes(), _small(left)))
     return pa.Table.from_batches([_packed(out)])
 
 
-_POSTED = "key string, field string, sig binary, n int, shared int, free int, prefix binary"
-
-
-def _choose(table: pa.Table, threshold: float, buckets: int) -> pa.Table:
-    """One batch: each text's posted prefix, from the counts that came back; none if it can have no partner."""
-    docs, parts = None, []
-    for bucket, blob, runs, owners in zip(*(table.column(c).to_pylist() for c in ("bucket", "docs", "runs", "owners"))):
-        if bucket < 0:
-            docs = pa.ipc.open_stream(blob).read_all()
+def _choose(table: pa.Table, threshold: float, buckets: int, posting_buckets: int) -> pa.Table:
+    """One batch: each text's group and posted prefix, from the counts that came back; texts that can have no partner drop out."""
+    docs, parts, name = None, [], table.column("batch")[0].as_py()
+    for kind, bucket, a, b in zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "a", "b"))):
+        if kind == TEXTS:
+            docs = pa.ipc.open_stream(a).read_all()
             continue
-        r = np.frombuffer(runs, np.uint32).astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
-        parts.append((r, np.frombuffer(owners, np.uint16, len(r)), np.frombuffer(owners, np.uint8, len(r), 2 * len(r))))
-    rows = []
-    if parts:
-        runs, owner, grade = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((runs, grade, owner))
-        runs, owner = runs[order], owner[order]
-        ends = np.searchsorted(owner, np.arange(docs.num_rows + 1))
-        sizes = docs.column("n").to_pylist()
-        for d in range(docs.num_rows):
-            n, shared = sizes[d], int(ends[d + 1] - ends[d])
-            free, need = n - shared, least_overlap(sizes[d], threshold)
-            posted = n - need + 1 - free
-            if posted > 0 and shared >= need:
-                rows.append((d, n, shared, free, runs[ends[d] : ends[d] + posted].tobytes()))
-    at = pa.array([r[0] for r in rows], pa.int64())
-    base = docs.select(["key", "field", "sig"]).take(at)
-    more = [pa.array([r[i] for r in rows], t) for i, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.int32()), (4, pa.binary()))]
-    return pa.table([*base.columns, *more], names=["key", "field", "sig", "n", "shared", "free", "prefix"])
-
-
-def _explode_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        cols = {name: b.column(name) for name in b.schema.names}
-        prefix = [np.frombuffer(x, np.int64) for x in cols["prefix"].to_pylist()]
-        if not prefix:
+        n = len(a) // 5
+        r = np.frombuffer(a, np.uint32, n).astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
+        per = _unsmall(b)
+        parts.append((r, np.repeat(np.arange(len(per)), per), np.frombuffer(a, np.uint8, n, 4 * n)))
+    if not parts:
+        return pa.Table.from_batches([_packed([])])
+    runs, owner, grade = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((runs, grade, owner))
+    runs = runs[order]
+    ends = np.searchsorted(owner[order], np.arange(docs.num_rows + 1))
+    sizes = docs.column("n").to_pylist()
+    groups: dict[int, tuple] = {}
+    placed = []
+    for d, n in enumerate(sizes):
+        shared = int(ends[d + 1] - ends[d])
+        free, need = n - shared, least_overlap(n, threshold)
+        posted = n - need + 1 - free
+        if posted > 0 and shared >= need:
+            prefix = runs[ends[d] : ends[d] + posted]
+            gid = xxhash.xxh64_intdigest(prefix.tobytes(), seed=n) - 2**63
+            placed.append((d, gid))
+            groups.setdefault(gid, (gid, n, shared, free, prefix))
+    if not placed:
+        return pa.Table.from_batches([_packed([])])
+    members = docs.select(["key", "field", "sig"]).take(pa.array([d for d, _ in placed], pa.int64())).append_column("gid", pa.array([g for _, g in placed], pa.int64()))
+    rows = [(TEXTS, 0, name, _ipc(members), None)]
+    facts = np.array([g[:4] for g in groups.values()], dtype=np.int64)
+    prefixes = [g[4] for g in groups.values()]
+    runs = np.concatenate(prefixes)
+    owner = np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes])
+    position = np.concatenate([np.arange(f + 1, f + 1 + len(p)) for f, p in zip(facts[:, 3], prefixes)])
+    rest = (runs // np.uint64(posting_buckets)).astype(np.uint32)
+    for b, at, counts in _by_bucket(runs, owner, len(prefixes), posting_buckets):
+        held = counts > 0
+        table = facts[held][:, :3].tobytes() + counts[held].astype(np.int64).tobytes()
+        rows.append((RUNS, b, name, rest[at].tobytes() + position[at].astype(np.uint32).tobytes(), table))
+    return pa.Table.from_batches([_packed(rows)])
+
+
+def _post_entries(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """run, gid, n, shared, position of all postings of a bucket, each group once per run."""
+    out = []
+    for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist()):
+        m = len(a) // 8
+        facts = np.frombuffer(b, np.int64)
+        g = len(facts) // 4
+        gid, n, shared = facts[: 3 * g].reshape(g, 3).T
+        at = np.repeat(np.arange(g), facts[3 * g :])
+        out.append((np.frombuffer(a, np.uint32, m), gid[at], n[at], shared[at], np.frombuffer(a, np.uint32, m, 4 * m).astype(np.int64)))
+    run, gid, n, shared, pos = (np.concatenate(x) for x in zip(*out))
+    order = np.lexsort((gid, n, run))
+    run, gid, n, shared, pos = (x[order] for x in (run, gid, n, shared, pos))
+    first = np.r_[True, (run[1:] != run[:-1]) | (gid[1:] != gid[:-1])]  # batches may post the same group
+    return tuple(x[first] for x in (run, gid, n, shared, pos))
+
+
+def _passes(a: np.ndarray, b: np.ndarray, gid, n, shared, pos, t: float) -> np.ndarray:
+    """Which pairs (a is the smaller) may reach the threshold."""
+    na, nb = n[a], n[b]
+    need = np.ceil(t / (1 + t) * (na + nb) - 1e-9)
+    reach = 1 + np.minimum(na - pos[a], nb - pos[b])
+    indexed = pos[a] <= na - np.ceil(2 * t / (1 + t) * na - 1e-9) + 1
+    return indexed & (na >= t * nb - 1e-9) & (reach >= need) & (np.minimum(shared[a], shared[b]) >= need) & (gid[a] != gid[b])
+
+
+def _list_pairs(lo: np.ndarray, hi: np.ndarray, facts: tuple, t: float) -> np.ndarray:
+    """Pairs (i, j) with i in 0..len(lo), lo[i] <= j < hi[i], that pass; made in bounded steps."""
+    out = []
+    width = np.maximum(hi - lo, 0)
+    steps = np.searchsorted(np.cumsum(width), np.arange(0, width.sum() + 1, 2_000_000)[1:]) if width.sum() > 2_000_000 else []
+    marks = [0, *[int(s) + 1 for s in steps], len(lo)]
+    for x, y in zip(marks, marks[1:]):
+        if y <= x:
             continue
-        sizes = [len(p) for p in prefix]
-        at = pa.array(np.repeat(np.arange(len(prefix)), sizes))
-        free = np.repeat(np.array(cols["free"].to_pylist()), sizes)
-        within = np.concatenate([np.arange(1, s + 1) for s in sizes])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(prefix)), *[cols[c].take(at) for c in ("field", "gid", "n", "shared")], pa.array((free + within).astype(np.int32))],
-            names=["run", "field", "gid", "n", "shared", "pos"],
-        )
-
-
-def posted_prefixes(texts: DataFrame, threshold: float, k: int, min_words: int) -> DataFrame:
-    """Steps 1 and the posting: one row per text that may have a partner."""
-    spark = texts.sparkSession
-    plain = texts.select(F.col("key").cast("string"), F.col("field").cast("string"), "text").filter(F.col("text").isNotNull())
-    # about one run per six characters
-    chars = plain.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
-    buckets = max(4, int(chars / 6 / BUCKET_RUNS) + 1)
-    packed = scan_arrow(plain, lambda b: _pack(b, k, min_words, buckets), _PACK)
-    counted = packed.groupBy("bucket").applyInArrow(lambda t: _count(t), _PACK)
-    return counted.groupBy("batch").applyInArrow(lambda t: _choose(t, threshold, buckets), _POSTED)
-
-
-def _group_pairs(groups: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different groups that share a posted run and pass the size and position filters."""
-    postings = scan_arrow(groups.select("gid", "field", "n", "shared", "free", "prefix"), _explode_prefix, "run bigint, field string, gid bigint, n int, shared int, pos int", 1024)
-    a, b = (postings.select("run", "field", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "shared", "pos")]) for s in "ab")
-    t = F.lit(threshold)
-    need = F.ceil(t / (1 + t) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-9))
-    reach = 1 + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    keep = (
-        (F.col("gid_a") < F.col("gid_b"))
-        & (F.least("n_a", "n_b") >= t * F.greatest("n_a", "n_b") - F.lit(1e-9))
-        & (reach >= need)
-        & (F.least("shared_a", "shared_b") >= need)
-    )
-    return a.join(b, ["run", "field"]).filter(keep).select("field", "gid_a", "gid_b").distinct()
+        w = width[x:y]
+        a = np.repeat(np.arange(x, y), w)
+        b = np.arange(len(a)) - np.repeat(np.cumsum(w) - w, w) + np.repeat(lo[x:y], w)
+        ok = _passes(a, b, *facts, t)
+        g = facts[0]
+        pair = np.stack([np.minimum(g[a[ok]], g[b[ok]]), np.maximum(g[a[ok]], g[b[ok]])], axis=1)
+        out.append(np.unique(pair, axis=0))
+    return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
+
+
+def _pair_up(table: pa.Table, t: float) -> pa.Table:
+    """One bucket: pairs of groups sharing a posted run.  Lists over ``LIST_BLOCK`` leave as pairs of blocks."""
+    run, *facts = _post_entries(table)
+    starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+    sizes = np.diff(np.r_[starts, len(run)])
+    ends = np.repeat(starts + sizes, sizes)
+    lo, hi = np.arange(len(run)) + 1, ends.copy()
+    long = np.repeat(sizes > LIST_BLOCK, sizes)
+    hi[long] = 0
+    rows = [(RUNS, 0, "", _list_pairs(lo, hi, tuple(facts), t).tobytes(), None)]
+    for s, size in zip(starts[sizes > LIST_BLOCK], sizes[sizes > LIST_BLOCK]):
+        blocks = [np.stack([f[i : min(i + LIST_BLOCK, s + size)] for f in facts]) for i in range(s, s + size, LIST_BLOCK)]
+        for i, x in enumerate(blocks):
+            for j in range(i, len(blocks)):
+                if x[1, -1] >= t * blocks[j][1, 0] - 1e-9:  # sizes ascend: blocks too far apart in size cannot pair
+                    rows.append((BLOCKS, xxhash.xxh64_intdigest(f"{run[s]} {i} {j}") >> 1, "", x.tobytes(), blocks[j].tobytes() if j > i else None))
+    return pa.Table.from_batches([_packed(rows)])
+
+
+def _pair_blocks(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBatch]:
+    """Packed pairs to rows; pairs of blocks are compared here."""
+    for batch in batches:
+        for kind, a, b in zip(*(batch.column(c).to_pylist() for c in ("kind", "a", "b"))):
+            if kind == RUNS:
+                pairs = np.frombuffer(a, np.int64).reshape(-1, 2)
+            else:
+                x = np.frombuffer(a, np.int64).reshape(4, -1)
+                m = x.shape[1]
+                if b is None:
+                    facts, lo, hi = x, np.arange(m) + 1, np.full(m, m)
+                else:
+                    facts = np.concatenate([x, np.frombuffer(b, np.int64).reshape(4, -1)], axis=1)
+                    lo, hi = np.full(m, m), np.full(m, facts.shape[1])
+                pairs = _list_pairs(lo, hi, tuple(facts), t)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["gid_a", "gid_b"])
+
+
+def _open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for blob in batch.column(0).to_pylist():
+            yield from pa.ipc.open_stream(blob).read_all().to_batches()
 
 
 def _fetch_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     hasher = RunHasher(k)
     for batch in batches:
-        sets = [hasher(words_of(t)) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(1), pa.array([_signature(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-            names=["field", "sig", "runs"],
-        )
+        sets = [hasher(words_of(t)) ^ field_salt(f) for f, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["h", "runs"])
 
 
 def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50) -> tuple[DataFrame, DataFrame]:
     """``(members, links)`` of texts(key, field, text); similarity only within a field.
 
     ``members``: key, field, sig for every text that may have a partner; texts
-    with the same ``sig`` have the same set.  ``links``: field, sig_a, sig_b
-    (different sets, smaller first), similarity, for every pair of sets at or
-    above ``threshold``.  Null texts and those under ``min_words`` words have no
-    set.  Repeated rows count once.
+    with the same ``sig`` have the same set.  ``links``: sig_a, sig_b (different
+    sets, smaller first), similarity, for every pair of sets at or above
+    ``threshold``.  Null texts and those under ``min_words`` words have no set.
+    Repeated rows count once.
     """
-    posted = materialise(posted_prefixes(texts, threshold, k, min_words), "posted")
-    gid = F.xxhash64("field", "n", "prefix")
-    # a set's prefix follows from the set, so one row stands for all copies
-    sets = posted.groupBy("field", "sig").agg(F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("n", "shared", "free", "prefix")]).withColumn("gid", gid)
-    sets = materialise(sets, "sets")
-    groups = sets.dropDuplicates(["gid"])
-    pairs = _group_pairs(groups, threshold)
-    expand = sets.select("gid", "sig", "field")
-    left, right = expand.select(F.col("gid").alias("gid_a"), F.col("sig").alias("sig_a")), expand.select(F.col("gid").alias("gid_b"), F.col("sig").alias("sig_b"))
-    across = pairs.join(left, "gid_a").join(right, "gid_b").select("field", "sig_a", "sig_b")
-    same = expand.alias("x").join(expand.alias("y"), F.expr("x.gid = y.gid AND x.sig < y.sig")).select("x.field", F.col("x.sig").alias("sig_a"), F.col("y.sig").alias("sig_b"))
-    ordered = across.select("field", F.least("sig_a", "sig_b").alias("sig_a"), F.greatest("sig_a", "sig_b").alias("sig_b"))
-    candidates = materialise(ordered.unionByName(same), "candidates")
-
-    ends = candidates.select("field", F.explode(F.array("sig_a", "sig_b")).alias("sig")).distinct()
-    wanted = materialise(sets.join(ends, ["field", "sig"], "left_semi").select(F.xxhash64("key", "field").alias("h")).distinct(), "wanted")
-    hashes, _ = broadcast_if_small(wanted, BROADCAST_TEXTS)
     plain = texts.select(F.col("key").cast("string"), F.col("field").cast("string"), "text").filter(F.col("text").isNotNull())
-    chosen = plain.withColumn("h", F.xxhash64("key", "field")).join(hashes, "h", "left_semi").select("key", "field", "text")
-    fetched = scan_arrow(chosen, lambda b: _fetch_sets(b, k), "field string, sig binary, runs array<bigint>").dropDuplicates(["field", "sig"])
-    fetched = materialise(fetched, "runs")
-    a = fetched.select("field", F.col("sig").alias("sig_a"), F.col("runs").alias("runs_a"))
-    b = fetched.select("field", F.col("sig").alias("sig_b"), F.col("runs").alias("runs_b"))
-    both = candidates.join(a, ["field", "sig_a"]).join(b, ["field", "sig_b"])
-    common = F.size(F.array_intersect("runs_a", "runs_b"))
-    similarity = common / (F.size("runs_a") + F.size("runs_b") - common)
-    links = both.select("field", "sig_a", "sig_b", similarity.alias("similarity")).filter(F.col("similarity") >= threshold - 1e-12)
-    return posted.select("key", "field", "sig").distinct(), links
+    # about one run per six characters
+    chars = plain.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
+    buckets = max(4, int(chars / 6 / BUCKET_RUNS) + 1)
+    posting_buckets = max(4, buckets // 4)
+    packed = scan_arrow(plain, lambda b: _pack(b, k, min_words, buckets), _PACKED)
+    counted = packed.groupBy("bucket", "kind").applyInArrow(lambda t: _count(t), _PACKED)
+    chosen = materialise(counted.groupBy("batch").applyInArrow(lambda t: _choose(t, threshold, buckets, posting_buckets), _PACKED), "posted")
+
+    member_schema = "key string, field string, sig binary, gid bigint"
+    members = materialise(chosen.filter(F.col("kind") == TEXTS).select("a").mapInArrow(_open_members, member_schema), "members")
+    sets = members.groupBy("sig").agg(F.min("gid").alias("gid"), F.min(F.struct("key", "field")).alias("first"))
+    sets = materialise(sets.select("sig", "gid", F.xxhash64("first.key", "first.field").alias("h")), "sets")
+
+    paired = chosen.filter(F.col("kind") == RUNS).groupBy("bucket").applyInArrow(lambda t: _pair_up(t, threshold), _PACKED)
+    spread = paired.repartition("kind", "bucket")
+    groups = spread.mapInArrow(lambda b: _pair_blocks(b, threshold), "gid_a bigint, gid_b bigint").distinct()
+    left, right = (sets.select(F.col("gid").alias(f"gid_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("h").alias(f"h_{s}")) for s in "ab")
+    across = groups.join(left, "gid_a").join(right, "gid_b").select("sig_a", "h_a", "sig_b", "h_b")
+    same = left.join(right, (F.col("gid_a") == F.col("gid_b")) & (F.col("sig_a") < F.col("sig_b"))).select("sig_a", "h_a", "sig_b", "h_b")
+    candidates = materialise(across.unionByName(same).withColumn("pair", F.xxhash64("sig_a", "sig_b")), "candidates")
+
+    ends = candidates.select("pair", F.explode(F.array("h_a", "h_b")).alias("h"))
+    wanted, _ = broadcast_if_small(materialise(ends.select("h").distinct(), "wanted"), BROADCAST_ROWS)
+    fetch = plain.withColumn("h", F.xxhash64("key", "field")).join(wanted, "h", "left_semi").select("h", "field", "text")
+    fetched = scan_arrow(fetch, lambda b: _fetch_sets(b, k), "h bigint, runs array<bigint>")
+    sides = candidates.select("pair", F.inline(F.expr("array(struct(h_a AS h, true AS left), struct(h_b AS h, false AS left))")))
+    sides, _ = broadcast_if_small(sides, BROADCAST_ROWS)
+    # each set goes once to each of its pairs
+    both = fetched.join(sides, "h").groupBy("pair").agg(
+        F.first(F.when(F.col("left"), F.col("runs")), ignorenulls=True).alias("x"), F.first(F.when(~F.col("left"), F.col("runs")), ignorenulls=True).alias("y")
+    )
+    common = F.size(F.array_intersect("x", "y"))
+    scored = both.select("pair", (common / (F.size("x") + F.size("y") - common)).alias("similarity")).filter(F.col("similarity") >= threshold - 1e-12)
+    links = candidates.join(scored, "pair").select(F.least("sig_a", "sig_b").alias("sig_a"), F.greatest("sig_a", "sig_b").alias("sig_b"), "similarity").distinct()
+    return members.select("key", "field", "sig").distinct(), links
 
 
 def duplicate_pairs(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50) -> DataFrame:
@@ -300,8 +392,8 @@ def duplicate_pairs(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_wo
     members, links = similar_sets(texts, threshold, k, min_words)
     m = materialise(members, "members")
     a, b = (m.select("field", F.col("sig").alias(f"sig_{s}"), F.col("key").alias(f"k{s}")) for s in "ab")
-    across = links.join(a, ["field", "sig_a"]).join(b, ["field", "sig_b"]).select("field", "ka", "kb", "similarity")
-    copies = m.alias("x").join(m.alias("y"), F.expr("x.field = y.field AND x.sig = y.sig AND x.key < y.key")).select("x.field", F.col("x.key").alias("ka"), F.col("y.key").alias("kb"), F.lit(1.0).alias("similarity"))
+    across = links.join(a, "sig_a").join(b.drop("field"), "sig_b").select("field", "ka", "kb", "similarity")
+    copies = m.alias("x").join(m.alias("y"), F.expr("x.sig = y.sig AND x.key < y.key")).select("x.field", F.col("x.key").alias("ka"), F.col("y.key").alias("kb"), F.lit(1.0).alias("similarity"))
     every = across.unionByName(copies).filter(F.col("ka") != F.col("kb"))
     return every.select("field", F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"), "similarity").distinct()
 
@@ -315,8 +407,8 @@ def duplicate_groups(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_w
     """
     members, links = similar_sets(texts, threshold, k, min_words)
     m = materialise(members, "members")
-    node = m.select("key", F.concat_ws(":", "field", F.hex("sig")).alias("set"))
-    ends = links.select(F.concat_ws(":", "field", F.hex("sig_a")).alias("a"), F.concat_ws(":", "field", F.hex("sig_b")).alias("b"))
+    node = m.select("key", F.hex("sig").alias("set"))
+    ends = links.select(F.hex("sig_a").alias("a"), F.hex("sig_b").alias("b"))
     ends = materialise(ends, "links")
     edges = materialise(ends.union(ends.select("b", "a")).union(node.select(F.col("key").alias("a"), F.col("set").alias("b"))).union(node.select("set", "key")).distinct(), "edges")
     label = materialise(edges.groupBy("a").agg(F.min(F.least("a", "b")).alias("label")), "label")
