@@ -337,7 +337,8 @@ def _fetch_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
     hasher = RunHasher(k)
     for batch in batches:
         sets = [hasher(words_of(t)) ^ field_salt(f) for f, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["h", "runs"])
+        # a key may have several texts in a field, so sets are told apart by their signature
+        yield pa.RecordBatch.from_arrays([pa.array([_signature(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["sig", "runs"])
 
 
 def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50) -> tuple[DataFrame, DataFrame]:
@@ -374,11 +375,11 @@ def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words
     ends = candidates.select("pair", F.explode(F.array("h_a", "h_b")).alias("h"))
     wanted, _ = broadcast_if_small(materialise(ends.select("h").distinct(), "wanted"), BROADCAST_ROWS)
     fetch = plain.withColumn("h", F.xxhash64("key", "field")).join(wanted, "h", "left_semi").select("h", "field", "text")
-    fetched = scan_arrow(fetch, lambda b: _fetch_sets(b, k), "h bigint, runs array<bigint>")
-    sides = candidates.select("pair", F.inline(F.expr("array(struct(h_a AS h, true AS left), struct(h_b AS h, false AS left))")))
+    fetched = scan_arrow(fetch, lambda b: _fetch_sets(b, k), "sig binary, runs array<bigint>")
+    sides = candidates.select("pair", F.inline(F.expr("array(struct(sig_a AS sig, true AS left), struct(sig_b AS sig, false AS left))")))
     sides, _ = broadcast_if_small(sides, BROADCAST_ROWS)
     # each set goes once to each of its pairs
-    both = fetched.join(sides, "h").groupBy("pair").agg(
+    both = fetched.join(sides, "sig").groupBy("pair").agg(
         F.first(F.when(F.col("left"), F.col("runs")), ignorenulls=True).alias("x"), F.first(F.when(~F.col("left"), F.col("runs")), ignorenulls=True).alias("y")
     )
     common = F.size(F.array_intersect("x", "y"))
@@ -407,9 +408,9 @@ def duplicate_groups(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_w
     """
     members, links = similar_sets(texts, threshold, k, min_words)
     m = materialise(members, "members")
-    node = m.select("key", F.hex("sig").alias("set"))
     ends = links.select(F.hex("sig_a").alias("a"), F.hex("sig_b").alias("b"))
     ends = materialise(ends, "links")
+    node = m.select("key", F.hex("sig").alias("set"))
     edges = materialise(ends.union(ends.select("b", "a")).union(node.select(F.col("key").alias("a"), F.col("set").alias("b"))).union(node.select("set", "key")).distinct(), "edges")
     label = materialise(edges.groupBy("a").agg(F.min(F.least("a", "b")).alias("label")), "label")
     while True:
