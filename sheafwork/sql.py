@@ -15,8 +15,13 @@ from sheafwork.operators.items import UnknownForm
 from sheafwork.plans.extract import Options, items_of
 
 
-def _series(function):
-    return lambda s: s.map(lambda v: function(v) if isinstance(v, str) else None)
+def _mapped(function):
+    """``function`` over a column of strings; null stays null."""
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: function(v) if isinstance(v, str) else None)
+
+    return F.pandas_udf(run, "string")
 
 
 @udtf(returnType="ord int, key string, value string")
@@ -37,10 +42,5 @@ class FilingItems:
 def register(spark: SparkSession) -> None:
     """Register ``strip_markup``, ``clean_filing_text``, ``collapse_lines`` and ``filing_items``."""
     for name, function in (("strip_markup", strip_markup), ("clean_filing_text", clean_text_py), ("collapse_lines", collapse_lines_py)):
-        mapped = _series(function)
-
-        def run(s: pd.Series, mapped=mapped) -> pd.Series:
-            return mapped(s)
-
-        spark.udf.register(name, F.pandas_udf(run, "string"))
+        spark.udf.register(name, _mapped(function))
     spark.udtf.register("filing_items", FilingItems)
