@@ -241,4 +241,5 @@ def reading_levels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     weights = calibrate(features, labels, key)
     score = F.expr(" + ".join(f"({w!r}) * {t}" for w, t in zip(weights, _TERMS)))
     prose = (F.col("prose_share") >= 1 - NOT_PROSE) & (F.col("english_share") > ENGLISH) & (F.col("body_chars") >= STUB_CHARS)
-    return features.withColumn("score", score).select("*", F.least(F.greatest(F.round("score"), F.lit(1)), F.lit(levels)).cast("int").alias("reading_level"), prose.alias("is_english_prose"))
+    level = F.when(F.col("score").isNotNull(), F.least(F.greatest(F.round("score"), F.lit(1)), F.lit(levels)).cast("int"))
+    return features.withColumn("score", score).select("*", level.alias("reading_level"), prose.alias("is_english_prose"))
