@@ -410,7 +410,10 @@ def duplicate_groups(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_w
     m = materialise(members, "members")
     ends = links.select(F.hex("sig_a").alias("a"), F.hex("sig_b").alias("b"))
     ends = materialise(ends, "links")
-    node = m.select("key", F.hex("sig").alias("set"))
+    # only texts with a link or a copy can be in a group with others
+    copied = m.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select(F.hex("sig").alias("set"))
+    active = ends.select(F.col("a").alias("set")).union(ends.select("b")).union(copied).distinct()
+    node = materialise(m.select("key", F.hex("sig").alias("set")).join(active, "set", "left_semi").select("key", "set"), "nodes")
     edges = materialise(ends.union(ends.select("b", "a")).union(node.select(F.col("key").alias("a"), F.col("set").alias("b"))).union(node.select("set", "key")).distinct(), "edges")
     label = materialise(edges.groupBy("a").agg(F.min(F.least("a", "b")).alias("label")), "label")
     while True:
