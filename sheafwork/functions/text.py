@@ -11,39 +11,58 @@ from pyspark.sql import functions as F
 _WS = r"\t\n\x0B\f\r \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WS_SAME_LINE = r"\t\x0B\f \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WS, HWS = f"[{_WS}]", f"[{_WS_SAME_LINE}]"
-_I = "(?iu)"
+
+
+def _letter(c: str) -> str:
+    """A letter in either case as a class: spelt out, because Java compares far slower under its case flags."""
+    return f"[{c.upper()}{c.lower()}{_ODD_CASE.get(c.upper(), '')}]" if c.isalpha() else c
+
+
+# Letters outside ASCII that equal an ASCII letter when case is ignored.
+_ODD_CASE = {"S": "\u017f", "I": "\u0130\u0131", "K": "\u212a"}
+
+
+def any_case(word: str) -> str:
+    return "".join(_letter(c) for c in word)
+
 
 # Characters replaced by others, in order.
 _FROM = "\u00a0\u200b\u2009\u0091\u0092\u0093\u0094\u0095\u0096\u0097\u0098\u0099\u2010\u2011\u2012\u2013\u2014\u2015"
 _TO = "   ‘’“”•--˜™------"
-_CHARACTERS = str.maketrans(_FROM, _TO)
+_CHARACTERS = dict(zip(_FROM, _TO))
+_CHARACTER = re.compile(f"[{_FROM}]")
 
 
 def _spaced(word: str) -> str:
-    """A group per letter of ``word``, with blanks allowed after each."""
-    return f"{HWS}*".join(f"({c})" for c in word)
+    """A group per letter of ``word``, with blanks allowed between them."""
+    return f"{HWS}*".join(f"({_letter(c)})" for c in word)
 
 
 def _groups(n: int, start: int = 1) -> str:
     return "".join(f"${i}" for i in range(start, start + n))
 
 
-_NUMBERED = (r"(ITEM|PART)(" + WS + r"+\p{Nd}{1,2}[AB]?)([-•])", "$1$2 $3 ")
+def _words(phrase: str) -> str:
+    return f"{WS}+".join(any_case(w) for w in phrase.split())
+
+
+_AB = f"[{_letter('A')[1:-1]}{_letter('B')[1:-1]}]?"
+_IV = f"[{_letter('I')[1:-1]}{_letter('V')[1:-1]}]"
 
 #: the steps of cleaning, in order: Java pattern and replacement
 CLEANING: list[tuple[str, str]] = [
     # headers whose letters were set apart
-    (rf"(\n{HWS}*){_spaced('PART')}{HWS}*".removesuffix(f"{HWS}*") + rf"({HWS}+)((?:\p{{Nd}}{{1,2}}|[IV]{{1,2}})[AB]?)", _groups(7)),
-    (rf"(\n{HWS}*){_spaced('ITEM')}({HWS}+)(\p{{Nd}}{{1,2}}[AB]?)", _groups(7)),
-    (rf"(\n{HWS}*){_spaced('SIGNATURE')}{HWS}*(?:(S)|(\(){HWS}*(s){HWS}*(\)))?({HWS}+)({HWS}?)", _groups(16)),
-    _NUMBERED,
+    (rf"(\n{HWS}*){_spaced('PART')}({HWS}+)((?:\p{{Nd}}{{1,2}}|{_IV}{{1,2}}){_AB})", _groups(7)),
+    (rf"(\n{HWS}*){_spaced('ITEM')}({HWS}+)(\p{{Nd}}{{1,2}}{_AB})", _groups(7)),
+    (rf"(\n{HWS}*){_spaced('SIGNATURE')}{HWS}*(?:({_letter('S')})|(\(){HWS}*({_letter('S')}){HWS}*(\)))?({HWS}+)({HWS}?)", _groups(16)),
+    (rf"({any_case('ITEM')}|{any_case('PART')})({WS}+\p{{Nd}}{{1,2}}{_AB})([-•])", "$1$2 $3 "),
     # lines of navigation
-    (rf"\n{HWS}*(?:TABLE{WS}+OF{WS}+CONTENTS|INDEX{WS}+TO{WS}+FINANCIAL{WS}+STATEMENTS|BACK{WS}+TO{WS}+CONTENTS|QUICKLINKS){HWS}*\n", "\n"),
+    (rf"\n{HWS}*(?:{_words('TABLE OF CONTENTS')}|{_words('INDEX TO FINANCIAL STATEMENTS')}|{_words('BACK TO CONTENTS')}|{_words('QUICKLINKS')}){HWS}*\n", "\n"),
     # page numbers
     (rf"\n{HWS}*[-‒–—]*\p{{Nd}}+[-‒–—]*{HWS}*\n", "\n"),
     (rf"\n{HWS}*\p{{Nd}}+{HWS}*\n", "\n"),
-    (rf"{WS}F[-‒–—]*\p{{Nd}}+", ""),
-    (rf"\n{HWS}*Page{WS}[\p{{Nd}}*]+{HWS}*\n", ""),
+    (rf"{WS}{_letter('F')}[-‒–—]*\p{{Nd}}+", ""),
+    (rf"\n{HWS}*{any_case('PAGE')}{WS}[\p{{Nd}}*]+{HWS}*\n", ""),
 ]
 
 
@@ -51,12 +70,12 @@ def clean_text(text: Column) -> Column:
     """Unify characters, mend broken headers, drop navigation lines and page numbers; all in the JVM."""
     out = F.translate(text, _FROM, _TO)
     for pattern, replacement in CLEANING:
-        out = F.regexp_replace(out, _I + pattern, replacement)
+        out = F.regexp_replace(out, pattern, replacement)
     return out
 
 
 def _python(pattern: str) -> re.Pattern:
-    return re.compile(pattern.replace(r"\p{Nd}", r"\d").replace(HWS, r"[^\S\r\n]").replace(WS, r"\s"), re.IGNORECASE)
+    return re.compile(pattern.replace(r"\p{Nd}", r"\d").replace(HWS, r"[^\S\r\n]").replace(WS, r"\s"))
 
 
 _CLEANING_PY = [(_python(p), re.sub(r"\$(\d+)", r"\\g<\1>", r)) for p, r in CLEANING]
@@ -64,7 +83,7 @@ _CLEANING_PY = [(_python(p), re.sub(r"\$(\d+)", r"\\g<\1>", r)) for p, r in CLEA
 
 def clean_text_py(text: str) -> str:
     """The same steps for a single string."""
-    out = text.translate(_CHARACTERS)
+    out = _CHARACTER.sub(lambda m: _CHARACTERS[m.group()], text)
     for pattern, replacement in _CLEANING_PY:
         out = pattern.sub(replacement, out)
     return out

@@ -20,6 +20,7 @@ from sheafwork.operators import metadata as M
 from sheafwork.operators.items import ITEMS_8K, ITEMS_8K_OLD, ITEMS_10K, item_dim, output_key, with_items
 from sheafwork.plans.extract import Options, extract, json_column, long_items, not_yet_extracted, plain_text, status_counts
 from sheafwork.plans.registry import Registry, table
+from sheafwork.session import spread
 
 FILINGS = Registry()
 ARCHIVE = "https://archive.filings.test/Archives/"
@@ -238,12 +239,12 @@ _MESSY = (
 
 @FILINGS.query(f"SELECT filename, {_clean_sql('m')} AS cleaned FROM (SELECT filename, {_MESSY} AS m FROM extracted_filings)")
 def clean_text_items(spark, sf):
-    return table(spark, sf, "extracted_filings").selectExpr("filename", f"{_MESSY} AS m").select("filename", X.clean_text(F.col("m")).alias("cleaned"))
+    return spread(table(spark, sf, "extracted_filings").select("filename", "item_1a", "item_2", "item_7")).selectExpr("filename", f"{_MESSY} AS m").select("filename", X.clean_text(F.col("m")).alias("cleaned"))
 
 
 @FILINGS.query(f"SELECT filename, {_collapse_sql('m')} AS collapsed FROM (SELECT filename, {_MESSY} AS m FROM extracted_filings)")
 def collapse_lines_items(spark, sf):
-    return table(spark, sf, "extracted_filings").selectExpr("filename", f"{_MESSY} AS m").select("filename", X.collapse_lines(F.col("m")).alias("collapsed"))
+    return spread(table(spark, sf, "extracted_filings").select("filename", "item_1a", "item_2", "item_7")).selectExpr("filename", f"{_MESSY} AS m").select("filename", X.collapse_lines(F.col("m")).alias("collapsed"))
 
 
 @FILINGS.query(
@@ -267,7 +268,7 @@ def _strip(pages: pd.Series) -> pd.Series:
 
 @FILINGS.query(f"SELECT doc_id, {_PLAIN} AS plain FROM documents")
 def strip_markup_documents(spark, sf):
-    return table(spark, sf, "documents").selectExpr("doc_id", f"{_PAGE} AS page").select("doc_id", _strip("page").alias("plain"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text", "source")).selectExpr("doc_id", f"{_PAGE} AS page").select("doc_id", _strip("page").alias("plain"))
 
 
 @FILINGS.query(
@@ -316,6 +317,7 @@ def _value(title: str, column: str) -> str:
     return _collapse_sql(_clean_sql(f"concat(chr(10), '{title}', {_piece(column)})"))
 
 
+_ITEM_COLUMNS = ["item_1", "item_1a", "item_2", "item_3", "item_6", "item_7", "item_7a", "item_8", "item_9a", "signature"]
 _TENK = {"1": "item_1", "1A": "item_1a", "2": "item_2", "3": "item_3", "6": "item_6", "7": "item_7", "7A": "item_7a", "8": "item_8", "9A": "item_9a"}
 
 
@@ -325,9 +327,9 @@ def _compose(pieces: dict[str, str], titles: str = "Item {0}. ", front: str = "'
 
 
 def _filings(spark: SparkSession, sf: str, raw: str, form: str, date: str = "filing_date") -> DataFrame:
-    rows = table(spark, sf, "extracted_filings").selectExpr("filename", f"'{form}' AS filing_type", f"{date} AS filing_date", f"{raw} AS content").distinct()
-    # texts are wide and the kernel is Python: spread them evenly
-    return rows
+    columns = ["filename", "filing_date", *_ITEM_COLUMNS]
+    rows = spread(table(spark, sf, "extracted_filings").select(*columns), "filename").distinct()
+    return rows.selectExpr("filename", f"'{form}' AS filing_type", f"{date} AS filing_date", f"{raw} AS content")
 
 
 def _long(spark: SparkSession, sf: str, raw: str, form: str, options: Options = Options(), date: str = "filing_date") -> DataFrame:
@@ -440,13 +442,13 @@ def html_table_removal(spark, sf):
         f"concat('<p>a</p><table><tr {colour}><td>gone', {_ESCAPED.format(_piece('item_6'))}, '</td></tr></table><table><tr style=\"background:white\"><td>k</td><td>2</td></tr></table>', "
         f"'<table><tr><td></td></tr><tr {colour}><td>Item 1. in a table</td></tr></table>', {_ESCAPED.format(_piece('item_2'))}, '<span> </span>b')"
     )
-    return table(spark, sf, "extracted_filings").selectExpr("filename", f"{html} AS page").distinct().select("filename", _plain_10k("page").alias("plain"))
+    return spread(table(spark, sf, "extracted_filings").selectExpr("filename", f"{html} AS page"), "filename").distinct().select("filename", _plain_10k("page").alias("plain"))
 
 
 def _mixed(spark: SparkSession, sf: str) -> DataFrame:
     """Every filing under its own form; amendments and old annual forms have no item list."""
     raw = f"CASE WHEN item_3 IS NULL THEN 'nothing to find here' ELSE {_compose(_TENK)} END"
-    return table(spark, sf, "extracted_filings").selectExpr("*", f"{raw} AS content").distinct()
+    return spread(table(spark, sf, "extracted_filings"), "filename").distinct().selectExpr("*", f"{raw} AS content")
 
 
 @FILINGS.query(
@@ -480,9 +482,6 @@ def extracted_json(spark, sf):
     )
 
 
-_ITEM_COLUMNS = ["item_1", "item_1a", "item_2", "item_3", "item_6", "item_7", "item_7a", "item_8", "item_9a", "signature"]
-
-
 @FILINGS.query(
     "SELECT filing_type, item_name, count(t) AS n_present, sum(length(t))::bigint AS n_chars FROM (SELECT filing_type, "
     + ", ".join(_ITEM_COLUMNS) + " FROM extracted_filings) UNPIVOT INCLUDE NULLS (t FOR item_name IN (" + ", ".join(_ITEM_COLUMNS) + ")) GROUP BY 1, 2"

@@ -86,6 +86,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return (F.broadcast(df) if small else df), small
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for costly work on wide rows.
+
+    With keys it is partitioned by them, which a later grouping on them reuses.
+    Without, only a frame of fewer partitions, say one small file, is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    now = df._jdf.rdd().getNumPartitions() if not keys else 0
+    if keys:
+        wanted = max(cores, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return df.repartition(wanted, *keys)
+    return df if now >= cores else df.repartition(cores)
+
+
 def fresh_name(wanted: str, taken: list[str]) -> str:
     """``wanted``, or the first of ``wanted_2, wanted_3, ...`` not in ``taken`` (case ignored, as Spark does)."""
     used = {t.lower() for t in taken}
