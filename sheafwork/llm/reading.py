@@ -31,7 +31,7 @@ HEAD_WORDS = 65_536
 ENGLISH = 0.15
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-_HIDDEN = dict.fromkeys(map(ord, "­​‌‍⁠﻿"))
+_HIDDEN = dict.fromkeys(map(ord, "\u00ad\u200b\u200c\u200d\u2060\ufeff"))
 _ENDS = re.compile(r"[.!?][\"'”’)\]]*$")
 _VOWELS = re.compile(r"[aeiouyà-öø-ý]+")
 _HEADING = re.compile(r"^\s*(?:item|part|note|exhibit)\s+\w{1,5}[.:]?(?:\s+\S+){0,8}\s*$", re.I)

@@ -8,7 +8,7 @@ from sheafwork.llm.tokens import TokenCounter, encoding, token_sizes
 
 def test_counter_equals_encoding():
     count, rng = TokenCounter(), random.Random(1)
-    tokens = ["word", "Word's", " ", "  ", "   ", "\n", "\n\n", "\t", "12,345.6", "é", "Ж", "—", "'s", "½", " don't", "  x", "\xa0", "​", "!?", "_", "日本"]
+    tokens = ["word", "Word's", " ", "  ", "   ", "\n", "\n\n", "\t", "12,345.6", "é", "Ж", "—", "'s", "½", " don't", "  x", "\xa0", "\u200b", "!?", "_", "日本"]
     encode = encoding(count.path).encode_ordinary
     for _ in range(4000):
         text = "".join(rng.choice(tokens) for _ in range(rng.randint(0, 20)))
