@@ -31,7 +31,7 @@ HEAD_WORDS = 65_536
 ENGLISH = 0.15
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-_HIDDEN = dict.fromkeys(map(ord, "\u00ad\u200b\u200c\u200d\u2060\ufeff"))
+_HIDDEN = re.compile("[\u00ad\u200b\u200c\u200d\u2060\ufeff]")
 _ENDS = re.compile(r"[.!?][\"'”’)\]]*$")
 _VOWELS = re.compile(r"[aeiouyà-öø-ý]+")
 _HEADING = re.compile(r"^\s*(?:item|part|note|exhibit)\s+\w{1,5}[.:]?(?:\s+\S+){0,8}\s*$", re.I)
@@ -77,7 +77,7 @@ def word_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                seen.update((t if t.isascii() else t.translate(_HIDDEN)).lower().split())
+                seen.update((t if t.isascii() else _HIDDEN.sub("", t)).lower().split())
             if len(seen) > 500_000:
                 yield flush()
         if seen:
@@ -111,7 +111,7 @@ class Reader:
         body_chars = prose_chars = words = long_words = sentences = common = 0
         running: list[str] = []
         open_words = 0
-        for line in (text if text.isascii() else text.translate(_HIDDEN)).split("\n"):
+        for line in (text if text.isascii() else _HIDDEN.sub("", text)).split("\n"):
             tokens = line.split()
             if not tokens:
                 continue
