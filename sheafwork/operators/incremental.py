@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +58,7 @@ def _in_windows(rows: DataFrame, windows: DataFrame, arrival: str) -> DataFrame:
     A window is spread over the days it touches, so the interval condition is
     checked for the few windows of a day only, whatever their number.
     """
+    # one row: where the first window ends; earlier arrivals belong to it
     first = windows.agg(F.to_date(F.min("hi")).alias("first_day"))
     days = windows.crossJoin(F.broadcast(first)).withColumn("day", F.explode(F.sequence(F.to_date(F.coalesce("lo", "hi")), F.to_date("hi")))).drop("first_day")
     keyed = rows.crossJoin(F.broadcast(first)).withColumn("_day", F.greatest(F.to_date(arrival), F.col("first_day"))).drop("first_day")
