@@ -110,6 +110,10 @@ def _cuts(text: pd.Series, limit: pd.Series, overlap: pd.Series) -> pd.Series:
     return pd.Series([plan_cuts(t, int(n), int(o)) for t, n, o in zip(text, limit, overlap)])
 
 
+# else filters on the cuts, also inferred ones, evaluate the plan once more
+_cuts = _cuts.asNondeterministic()
+
+
 def split_items(items: DataFrame, text: str = "text", limit: str = "max_chars", overlap: str = "overlap_chars") -> DataFrame:
     """Pieces of each row's text: the input's columns but ``text``, then piece_no, n_pieces, piece_start, piece_end, piece.
 
