@@ -99,7 +99,8 @@ def _kernel(options: Options):
         items = [None if i is None else [{"key": k, "value": v} for k, v in i] for _, i in found]
         return pd.DataFrame({"status": [s for s, _ in found], "items": items})
 
-    return run
+    # else the optimizer infers a filter from exploding the items and evaluates the kernel once more for it
+    return run.asNondeterministic()
 
 
 def extract(filings: DataFrame, options: Options = Options(), content: str = "content", form: str = "filing_type", date: str = "filing_date") -> DataFrame:
