@@ -51,15 +51,17 @@ def boundaries(text: str, gap: int) -> dict[int, float]:
     _fill(text, known, _WORD, WORD, gap)
     marks = [0, *sorted(known), len(text)]
     for a, b in zip(marks, marks[1:]):
-        at = a + gap
-        while at < b:  # no blank for a whole stretch: cut between characters, not before a combining mark
+        # no blank for a whole stretch: cut between characters, not before a combining mark
+        step = max(1, gap // 8)
+        at = a + step if b - a > gap else b
+        while at < b:
             cut = at
             while cut > a + 1 and unicodedata.combining(text[cut]):
                 cut -= 1
             if cut == a + 1:
                 cut = at
             known.setdefault(cut, BARE)
-            at = cut + gap
+            at += step
     return known
 
 
