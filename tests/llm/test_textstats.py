@@ -54,7 +54,7 @@ def test_kinds_of_documents(spark):
 
 
 def test_labelled_sample(spark):
-    """Held-out accuracy: the rules were not fitted to these rows' labels."""
+    """Accuracy on the smaller labelled sample; the rules were adjusted on the one of the larger tables."""
     sf = "/root/testdata/sf0.01"
     from sheafwork.llm.queries import _statistics
 
