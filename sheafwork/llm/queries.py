@@ -11,7 +11,7 @@ from sheafwork.llm.neardup import duplicate_groups, duplicate_pairs
 from sheafwork.llm.mixing import mix
 from sheafwork.llm.packing import pack, utilisation
 from sheafwork.llm.reading import reading_levels
-from sheafwork.llm.repeated_lines import repeated_lines, without_repeated_lines
+from sheafwork.llm.repeated_lines import bitmap_profile, document_lines, repeated_lines, without_repeated_lines
 from sheafwork.llm.splitting import split_items
 from sheafwork.llm.textstats import text_statistics
 from sheafwork.llm.tokens import token_sizes
@@ -89,23 +89,36 @@ def _source_items(spark: SparkSession, sf: str) -> DataFrame:
     return item_rows(table(spark, sf, "extracted_filings"), ["item_6", "item_7"], extra=("cik",))
 
 
-@LLM.query(
-    """
-WITH i AS (SELECT DISTINCT * FROM (SELECT cik, filename, 'item_6' AS item_name, item_6 AS t FROM extracted_filings
-  UNION ALL SELECT cik, filename, 'item_7', item_7 FROM extracted_filings) WHERE t IS NOT NULL),
-l AS (SELECT regexp_replace(trim(cik), '^0+(.)', '\\1') AS cik, filename, item_name, string_split(t, chr(10)) AS ls FROM i),
-n AS (SELECT cik, filename, item_name, unnest(ls) AS line, generate_subscripts(ls, 1)::int AS line_no FROM l),
-k AS (SELECT *, lower(trim(regexp_replace(line, '[ \t\r]+', ' ', 'g'))) AS key FROM n)
-SELECT DISTINCT filename, item_name, line_no FROM k
-JOIN (SELECT cik, key FROM k WHERE key <> '' GROUP BY cik, key HAVING count(DISTINCT filename) >= 4) h USING (cik, key)"""
-)
+_LINES_SQL = """
+WITH i AS (SELECT cik, filename, 'item_6' AS item_name, item_6 AS t FROM extracted_filings
+  UNION ALL SELECT cik, filename, 'item_7', item_7 FROM extracted_filings),
+l AS (SELECT DISTINCT regexp_replace(trim(cik), '^0+(.)', '\\1') AS src, filename, item_name, t, string_split(t, chr(10)) AS ls FROM i WHERE t IS NOT NULL),
+n AS (SELECT src, filename, item_name, t, unnest(ls) AS line, generate_subscripts(ls, 1)::int AS line_no FROM l),
+k AS (SELECT *, lower(trim(regexp_replace(line, '[ \t\r]+', ' ', 'g'))) AS key FROM n),
+f AS (SELECT * FROM k JOIN (SELECT src, key, count(DISTINCT filename) AS n_documents FROM k WHERE key <> '' GROUP BY src, key HAVING count(DISTINCT filename) >= 4) h USING (src, key))
+"""
+
+
+@LLM.query(_LINES_SQL + "SELECT DISTINCT filename, item_name, line_no FROM f")
 def p7_found(spark, sf):
-    return repeated_lines(_source_items(spark, sf), "cik", "filename").select("filename", "item_name", "line_no")
+    return repeated_lines(_source_items(spark, sf), "cik", "filename").select("filename", "item_name", "line_no").distinct()
 
 
-@LLM.query()
+@LLM.query(
+    _LINES_SQL
+    + """, d AS (SELECT src, filename, item_name, t, list(line_no) AS gone FROM f GROUP BY ALL),
+j AS (SELECT i.*, d.gone FROM i LEFT JOIN d ON i.filename = d.filename AND i.item_name = d.item_name AND i.t = d.t AND d.src = regexp_replace(trim(i.cik), '^0+(.)', '\\1'))
+SELECT filename, cik, item_name, CASE WHEN gone IS NULL THEN t ELSE array_to_string(list_filter(string_split(t, chr(10)), lambda x, pos: NOT list_contains(gone, pos)), chr(10)) END AS text,
+  coalesce(len(gone), 0)::int AS n_removed FROM j WHERE t IS NOT NULL"""
+)
 def p7_cleaned(spark, sf):
-    return without_repeated_lines(_source_items(spark, sf), "cik", "filename").distinct()
+    return without_repeated_lines(_source_items(spark, sf), "cik", "filename")
+
+
+@LLM.query(_LINES_SQL + "SELECT src AS cik, count(DISTINCT key) AS n_lines, count(DISTINCT (key, filename)) AS n_bits FROM k WHERE key <> '' GROUP BY src")
+def p7_bitmaps(spark, sf):
+    lines = document_lines(_source_items(spark, sf), "cik", "filename", "item_name", "text")
+    return bitmap_profile(lines).select(F.col("src").alias("cik"), "n_lines", "n_bits")
 
 
 def _sizes(spark: SparkSession, sf: str) -> DataFrame:
