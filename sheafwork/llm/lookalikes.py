@@ -1,11 +1,13 @@
 """One consistent form for text that looks the same but differs in its characters.
 
-A token with suspect characters is matched against a vocabulary trie by a
-weighted edit automaton in which replacing a look-alike and dropping an
-ignorable character cost nothing; among the spellings reached at no cost the
-one that occurs earliest in the vocabulary is chosen.  Tokens that match no
-spelling are rewritten by the same tables.  Genuine Greek or Cyrillic words,
-those with a letter that has no Latin twin, keep their letters.
+A word with suspect characters runs through a weighted edit automaton over the
+trie of a vocabulary's spellings.  Dropping an ignorable character, reading a
+look-alike or a presentation form as what it looks like, and joining an accent
+to its letter cost nothing; other edits have a cost.  Of the spellings reached
+within the bound the cheapest is the canonical one, among equals the one that
+occurs earliest in the vocabulary.  Words that reach no spelling are rewritten
+by table.  Genuine Greek or Cyrillic words, those with a letter that has no Latin
+twin, keep their letters.
 """
 
 from __future__ import annotations
@@ -14,21 +16,29 @@ import json
 import re
 import unicodedata
 from functools import lru_cache
+from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+#: the most spellings a vocabulary may have; it is sent to every executor (a few MB)
+MAX_SPELLINGS = 500_000
+
+#: cost of a letter replaced, added or left out, of an accent left out, and of a capital right after a second reading in lower case
+EDIT, ACCENT, CASE_BREAK = 1.0, 1.0, 1.0
+#: spellings that cost more are not reached; at 0 only those that look the same are
+MAX_COST = 0.0
 
 # Greek and Cyrillic letters with Latin twins.
 _TWINS = dict(zip(
     "АВЕЅІЈКМНОРСТУХҮԚԜаеѕіјорсухһԁԛԝүҽ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹοϲϳν",
     "ABESIJKMHOPCTYXYQWaesijopcyxhdqwye" "ABEZHIKMNOPTYXCocjv",
 ))
-#: dotless and accent-free alternatives a twin may also stand for
-_ALSO = {"І": "Il", "Ι": "Il", "ν": "v", "Ј": "J"}
+# Letters that look like a second Latin letter too.
+_ALSO = {"І": "l", "Ι": "l"}
 
 # Code point classes, written for a regular expression's brackets.
 _IGNORABLE = (
@@ -46,11 +56,14 @@ SUSPECT = f"[{_IGNORABLE}{_BLANK}{_MARKS}{_FORMS}{_SCRIPTS}]"
 
 _SUSPECT = re.compile(SUSPECT)
 _DROP = re.compile(f"[{_IGNORABLE}]")
+_MARK = re.compile(f"[{_MARKS}]")
+_APART = re.compile(f"[^\\W\\d_][{_MARKS}]")
 _SPACE = re.compile(f"[{_BLANK}]")
 #: a token: letters, digits, marks and ignorables around at least one suspect character
 _TOKEN = re.compile(rf"[\w{_IGNORABLE}{_MARKS}{_FORMS}]*[{_IGNORABLE}{_MARKS}{_FORMS}{_SCRIPTS}][\w{_IGNORABLE}{_MARKS}{_FORMS}]*")
 _FOREIGN = re.compile(f"[{_SCRIPTS}]")
-_NOT_WORD = re.compile(rf"((?:[^\w{_MARKS}]|[\d_])+)")
+#: the words of a token, with the marks and ignorables on and between their letters
+_WORD = re.compile(rf"((?:[^\W\d_]|[{_MARKS}{_IGNORABLE}])+)")
 #: compatibility signs that are their own characters, not plain letters in disguise
 _KEPT = set("™℠℗℃℉℅℞")
 _FORM = re.compile(f"[{_FORMS}]")
@@ -67,123 +80,224 @@ def fold_char(ch: str) -> str:
     return plain if latin else ch
 
 
+
+def _byte_letters() -> dict[str, int]:
+    """The letters by which a byte-level vocabulary writes bytes: printable ones stand for themselves, the others follow from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 @lru_cache(maxsize=4)
-def vocabulary_trie(path: str) -> dict:
-    """The whole words of a tokenizer's vocabulary file as nested dicts; ``""`` holds a word's rank.
+def vocabulary_words(path: str) -> tuple[str, ...]:
+    """The whole words of a tokenizer's vocabulary file in lower case, most frequent first.
 
-    The file's size bounds the trie (some 50,000 entries); each Python worker
-    reads it once.  A missing file gives an empty trie: all tokens then go by table.
+    A missing file is an error: results must not depend on the disk of a machine.
     """
-    try:
-        with open(path, encoding="utf-8") as f:
-            words = json.load(f)["model"]["vocab"]
-    except OSError:
-        return {}
+    with open(path, encoding="utf-8") as f:
+        entries = json.load(f)["model"]["vocab"]
+    letters = _byte_letters()
+    found: dict[str, int] = {}
+    for entry, rank in entries.items():
+        if entry.startswith("Ġ"):
+            word = bytes(letters[c] for c in entry[1:]).decode("utf-8", "ignore").lower()
+            if len(word) > 1 and word.isalpha() and not _FOREIGN.search(word):
+                found[word] = min(rank, found.get(word, rank))
+    if len(found) > MAX_SPELLINGS:
+        raise ValueError(f"{path}: {len(found)} spellings, more than {MAX_SPELLINGS}")
+    return tuple(sorted(found, key=found.get))
+
+
+def build_trie(words: tuple[str, ...]) -> dict:
+    """The words as nested dicts; ``""`` holds a word's rank."""
     root: dict = {}
-    for word, rank in words.items():
-        plain = word.lstrip("Ġ")
-        if len(plain) > 1 and plain.isascii() and plain.isalpha() and plain != word:
-            node = root
-            for ch in plain.lower():
-                node = node.setdefault(ch, {})
-            node[""] = min(rank, node.get("", rank))
+    for rank, word in enumerate(words):
+        node = root
+        for ch in word:
+            node = node.setdefault(ch, {})
+        node.setdefault("", rank)
     return root
 
 
-def _readings(token: str) -> list[str]:
-    """For each position of the composed token the characters it may stand for at no cost; ``""`` may be dropped."""
-    out = []
-    for ch in token:
-        if ch in _TWINS:
-            out.append(_ALSO.get(ch, _TWINS[ch]))
-        else:
-            out.append(ch)
-    return out
+class _State(NamedTuple):
+    node: dict
+    parent: dict | None  # the node before the last letter, where an accent joins it
+    spelt: str
+    second: bool  # the last letter is a second reading in lower case
+
+
+class Automaton:
+    """Weighted edit automaton over a trie."""
+
+    def __init__(self, words: tuple[str, ...], max_cost: float = MAX_COST):
+        self.root, self.max_cost = build_trie(words), max_cost
+        self.seen = lru_cache(maxsize=200_000)(self._canonical)
+
+    def _step(self, state: _State, cost: float, letter: str, second: bool, into: dict) -> None:
+        """Read one letter: along the trie at no cost, or by an edit."""
+        if state.second and letter.isupper():
+            cost += CASE_BREAK
+        self._add(into, state.node.get(letter.lower()), state.node, state.spelt + letter, second and letter.islower(), cost)
+        if cost + EDIT <= self.max_cost:
+            into_edit = cost + EDIT
+            self._add(into, state.node, state.parent, state.spelt, False, into_edit)  # left out
+            for ch, child in state.node.items():
+                if ch and ch != letter.lower():
+                    self._add(into, child, state.node, state.spelt + (ch.upper() if letter.isupper() else ch), False, into_edit)  # replaced
+
+    def _add(self, into: dict, node: dict | None, parent: dict | None, spelt: str, second: bool, cost: float) -> None:
+        if node is None or cost > self.max_cost:
+            return
+        key = (id(node), spelt)
+        if key not in into or into[key][1] > cost:
+            into[key] = (_State(node, parent, spelt, second), cost)
+        if cost + EDIT <= self.max_cost:  # a letter of the spelling is missing
+            for ch, child in node.items():
+                if ch:
+                    self._add(into, child, node, spelt + ch, False, cost + EDIT)
+
+    def match(self, word: str) -> str | None:
+        """The canonical spelling of a word with suspect characters, None if no spelling is within the bound."""
+        states: dict = {}
+        self._add(states, self.root, None, "", False, 0.0)
+        for ch in word:
+            if _DROP.match(ch):
+                continue  # ignorable: every state stays at no cost
+            following: dict = {}
+            for state, cost in states.values():
+                if _MARK.match(ch):
+                    joined = unicodedata.normalize("NFC", state.spelt[-1:] + ch)
+                    if len(joined) == 1 and state.parent is not None:
+                        self._add(following, state.parent.get(joined.lower()), state.parent, state.spelt[:-1] + joined, False, cost)
+                    self._add(following, state.node, state.parent, state.spelt, state.second, cost + ACCENT)
+                    continue
+                first = _TWINS.get(ch) or fold_char(ch)
+                run = {(id(state.node), state.spelt): (state, cost)}
+                for letter in first:
+                    ahead: dict = {}
+                    for s, c in run.values():
+                        self._step(s, c, letter, False, ahead)
+                    run = ahead
+                for key, (s, c) in run.items():
+                    if key not in following or following[key][1] > c:
+                        following[key] = (s, c)
+                for letter in _ALSO.get(ch, ""):
+                    self._step(state, cost, letter, True, following)
+            if not following:
+                return None
+            states = following
+        ends = [(cost, state.node[""], state.spelt) for state, cost in states.values() if "" in state.node]
+        return min(ends)[2] if ends else None
+
+    def word(self, word: str) -> tuple[str, str]:
+        """(form, what decided: ``trie``, ``table`` or ``kept``) of one word."""
+        if not _SUSPECT.search(word):
+            return word, "kept"
+        plain = unicodedata.normalize("NFC", "".join(map(fold_char, _DROP.sub("", word))))
+        genuine = any(_FOREIGN.match(c) and c not in _TWINS for c in plain)
+        if not genuine:
+            spelling = self.match(word)
+            if spelling is not None:
+                return spelling, "trie"
+            plain = unicodedata.normalize("NFC", "".join(_TWINS.get(c, c) for c in plain))
+        disguised = plain != word or _APART.search(word)
+        return plain, "table" if disguised else "kept"
+
+    def _canonical(self, token: str) -> tuple[str, int, int]:
+        """(form, words decided by the trie, words and signs decided by table) of one token."""
+        parts = _WORD.split(token)
+        counts = {"trie": 0, "table": 0, "kept": 0}
+        for i, part in enumerate(parts):
+            if i % 2:
+                parts[i], by = self.word(part)
+            else:
+                parts[i] = unicodedata.normalize("NFC", "".join(map(fold_char, part)))
+                by = "table" if parts[i] != part else "kept"
+            counts[by] += 1
+        return unicodedata.normalize("NFC", "".join(parts)), counts["trie"], counts["table"]
+
+    def text(self, text: str | None) -> tuple[str | None, int, int, int]:
+        """(form, by trie, by table, blanks replaced) of a text; line feeds and tabs stay, other blanks become spaces."""
+        if not text or not _SUSPECT.search(text):
+            return text, 0, 0, 0
+        trie = table = 0
+
+        def rewrite(m: re.Match) -> str:
+            nonlocal trie, table
+            form, a, b = self.seen(m.group())
+            trie, table = trie + a, table + b
+            return form
+
+        out, blanks = _SPACE.subn(" ", _TOKEN.sub(rewrite, text))
+        return out, trie, table, blanks
 
 
-def _walk(readings: list[str], root: dict) -> str | None:
-    """Run the automaton: states are trie nodes with the spelling so far, all at cost zero."""
-    states = [(root, "")]
-    for options in readings:
-        following = []
-        for node, spelt in states:
-            for ch in options:
-                nxt = node.get(ch.lower())
-                if nxt is not None:
-                    following.append((nxt, spelt + ch))
-        if not following:
-            return None
-        states = following
-    ends = [(node[""], spelt) for node, spelt in states if "" in node]
-    return min(ends)[1] if ends else None
-
-
-def canonical_token(token: str, path: str = DEFAULT_VOCABULARY) -> str:
-    """The consistent form of one token."""
-    bare = _DROP.sub("", token)
-    composed = unicodedata.normalize("NFC", "".join(fold_char(c) for c in bare)) if bare else ""
-    if not _FOREIGN.search(composed):
-        return composed
-    parts = _NOT_WORD.split(composed)
-    for i, word in enumerate(parts):
-        if not _FOREIGN.search(word):
-            continue
-        if any(_FOREIGN.match(c) and c not in _TWINS for c in word):
-            continue  # a genuine word
-        parts[i] = _walk(_readings(word), vocabulary_trie(path)) or "".join(_TWINS.get(c, c) for c in word)
-    return unicodedata.normalize("NFC", "".join(parts))
+@lru_cache(maxsize=4)
+def automaton(path: str = DEFAULT_VOCABULARY, max_cost: float = MAX_COST) -> Automaton:
+    return Automaton(vocabulary_words(path), max_cost)
 
 
 def canonical_text(text: str | None, path: str = DEFAULT_VOCABULARY) -> str | None:
-    """The consistent form of a text; line feeds and tabs stay, other blanks become spaces."""
-    if not text or not _SUSPECT.search(text):
-        return text
-    seen = _cached(path)
-    return _SPACE.sub(" ", _TOKEN.sub(lambda m: seen(m.group()), text))
+    """The consistent form of one text."""
+    return automaton(path).text(text)[0]
 
 
-@lru_cache(maxsize=4)
-def _cached(path: str):
-    return lru_cache(maxsize=200_000)(lambda token: canonical_token(token, path))
+_BUILT: dict[tuple, tuple] = {}
 
 
-def normalise_texts(df: DataFrame, columns: list[str], vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """``df`` with each of ``columns`` in canonical form; null stays null, empty stays empty.
+def _shared_automaton(shared: Broadcast, max_cost: float) -> Automaton:
+    """The automaton of the words sent with the job; a worker builds it once."""
+    key = (id(shared.value), max_cost)
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = (shared.value, Automaton(shared.value, max_cost))  # the words are kept, so their id stays theirs
+    return _BUILT[key][1]
 
-    Texts without any suspect character, nearly all, stay in the JVM.
-    """
 
-    out = df
-    for c in columns:
-        out = out.withColumn(c, canonical(F.col(c), vocabulary))
-    return out
+_FORM_TYPE = "form string, by_trie int, by_table int, blanks int"
+
+
+def _rewriting(column: Column, vocabulary: str, max_cost: float) -> Column:
+    """The rewriting of a column as a struct of ``_FORM_TYPE``; the words of the vocabulary travel with the job."""
+    shared = SparkSession.active().sparkContext.broadcast(vocabulary_words(vocabulary))
 
+    @F.pandas_udf(_FORM_TYPE)
+    def rewrite(texts: pd.Series) -> pd.DataFrame:
+        machine = _shared_automaton(shared, max_cost)
+        return pd.DataFrame([machine.text(t if isinstance(t, str) else None) for t in texts], columns=["form", "by_trie", "by_table", "blanks"])
 
-def canonical(column, vocabulary: str = DEFAULT_VOCABULARY):
-    """The canonical form of a column as an expression; only suspect texts are sent to Python in full."""
+    # nondeterministic, so that a filter on its result does not evaluate it once more
+    return rewrite.asNondeterministic()(column)
 
-    @F.pandas_udf(T.StringType())
-    def rewrite(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: canonical_text(t, vocabulary) if isinstance(t, str) else None)
 
-    suspect = (F.length(column) != F.octet_length(column)) & column.rlike(SUSPECT) | column.rlike(f"[{_CONTROL_BLANK}]")
-    return F.when(suspect, rewrite(F.when(suspect, column))).otherwise(column)
+def is_suspect(text: Column) -> Column:
+    """A superset of the texts that need rewriting, decided in the JVM."""
+    return (F.length(text) != F.octet_length(text)) & text.rlike(SUSPECT) | text.rlike(f"[{_CONTROL_BLANK}]")
 
 
-def rewritten_fields(df: DataFrame, key: str, columns: list[str], vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """(key, field_name, text, canonical_text) of every field that holds characters in disguise.
+def normalise_texts(df: DataFrame, columns: list[str], vocabulary: str = DEFAULT_VOCABULARY, max_cost: float = MAX_COST) -> DataFrame:
+    """``df`` with each of ``columns`` in canonical form; null stays null, empty stays empty.
 
-    Fields are filtered in the JVM before any goes to Python; repeated rows stay repeated.
+    Texts without any suspect character, nearly all, stay in the JVM.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("text")) for c in columns])
-    fields = df.select(key, F.inline(pairs))
-    text = F.col("text")
-    suspect = fields.filter(((F.length(text) != F.octet_length(text)) & text.rlike(SUSPECT)) | text.rlike(f"[{_CONTROL_BLANK}]"))
+    out = df
+    for c in columns:
+        text = F.col(f"`{c}`")
+        form = _rewriting(F.when(is_suspect(text), text), vocabulary, max_cost).getField("form")
+        out = out.withColumn(c, F.when(is_suspect(text), form).otherwise(text))
+    return out
 
-    @F.pandas_udf(T.StringType())
-    def rewrite(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: canonical_text(t, vocabulary))
 
-    apart = text.rlike(rf"\p{{L}}[{_MARKS}]")  # accents without a composed form are a case although nothing replaces them
-    # nondeterministic, so that the filter on its result does not evaluate it once more
-    return suspect.withColumn("canonical_text", rewrite.asNondeterministic()("text")).filter((F.col("canonical_text") != text) | apart)
+def rewritten_fields(df: DataFrame, key: str, columns: list[str], vocabulary: str = DEFAULT_VOCABULARY, max_cost: float = MAX_COST) -> DataFrame:
+    """(key, field_name, text, canonical_text, by_trie, by_table, blanks) of every field that holds characters in disguise.
+
+    A field is one if the automaton led a word of it to a spelling, the table
+    rewrote what led to none (a letter with an accent that has no joined form
+    counts), or a blank was replaced.  The JVM leaves out texts without suspect
+    characters before any goes to Python; repeated rows stay repeated.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("text")) for c in columns])
+    fields = df.select(key, F.inline(pairs)).filter(is_suspect(F.col("text")))
+    made = fields.withColumn("_made", _rewriting(F.col("text"), vocabulary, max_cost))
+    found = made.filter(F.col("_made.by_trie") + F.col("_made.by_table") + F.col("_made.blanks") > 0)
+    return found.select(key, "field_name", "text", F.col("_made.form").alias("canonical_text"), "_made.by_trie", "_made.by_table", "_made.blanks")

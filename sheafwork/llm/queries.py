@@ -44,8 +44,23 @@ def p1_pieces(spark, sf):
 
 _P3 = ["company", "item_1a", "item_7"]
 
+# The characters of problem 3 for SQL, in the classes of its statement.
+_FORMS_SQL = "[\uff01-\uff5e\uffe0-\uffe6\ufb00-\ufb06\u2102\u210a-\u2113\u2115-\u2116\u2119-\u211d\u2124\u2128\u212a-\u212d\u212f-\u2131\u2133-\u2134\u2139\u2145-\u2149\u2160-\u2188\U0001d400-\U0001d7ff\u2100-\u2101\u2105-\u2106]"
+_HIDDEN_SQL = "[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\U000e0000-\U000e01ef]"
+_BLANK_SQL = "[\u000b\u000c\r\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_MARKS_SQL = "[\u0300-\u034e\u0350-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]"
+_TWINS_SQL = "[АВЕЅІЈКМНОРСТУХҮԚԜаеѕіјорсухһԁԛԝүҽΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹοϲϳν]"
 
-@LLM.query()
+
+@LLM.query(
+    f"""
+WITH i AS (SELECT filename, 'company' AS field_name, company AS t FROM extracted_filings
+  UNION ALL SELECT filename, 'item_1a', item_1a FROM extracted_filings UNION ALL SELECT filename, 'item_7', item_7 FROM extracted_filings),
+w AS (SELECT *, list_transform(regexp_extract_all(nfc_normalize(regexp_replace(t, '{_HIDDEN_SQL}', '', 'g')), '[\\pL\\pM]*{_TWINS_SQL}[\\pL\\pM]*'), lambda x: regexp_replace(x, '{_TWINS_SQL}', '', 'g')) AS rests FROM i)
+SELECT DISTINCT filename, field_name FROM w
+WHERE regexp_matches(t, '{_FORMS_SQL}') OR regexp_matches(t, '{_HIDDEN_SQL}') OR regexp_matches(t, '{_BLANK_SQL}') OR regexp_matches(t, '\\pL{_MARKS_SQL}')
+  OR len(list_filter(rests, lambda x: NOT regexp_matches(x, '[\u0370-\u03ff\u0400-\u052f\u1f00-\u1fff]'))) > 0"""
+)
 def p3_found(spark, sf):
     return rewritten_fields(table(spark, sf, "extracted_filings"), "filename", _P3).select("filename", "field_name").distinct()
 
