@@ -86,8 +86,17 @@ def p4_groups(spark, sf):
     return duplicate_groups(_near_texts(spark, sf), threshold=0.6).withColumnRenamed("key", "filename")
 
 
+def _common_words(spark: SparkSession, sf: str, most: int = 10_000) -> list[str]:
+    """The table of frequent words, in lower case; it is fixed and small, which is checked."""
+    words = [r.word.lower() for r in table(spark, sf, "common_words").filter(F.col("word").isNotNull()).limit(most + 1).collect()]
+    if len(words) > most:
+        raise ValueError(f"more than {most} common words")
+    return words
+
+
 def _statistics(spark: SparkSession, sf: str) -> DataFrame:
-    return text_statistics(item_rows(table(spark, sf, "extracted_filings"), ["item_6", "item_7", "item_8"]), ["filename", "item_name"])
+    items = item_rows(table(spark, sf, "extracted_filings"), ["item_6", "item_7", "item_8"])
+    return text_statistics(items, ["filename", "item_name"], common=_common_words(spark, sf))
 
 
 @LLM.query()
@@ -97,7 +106,7 @@ def p6_found(spark, sf):
 
 @LLM.query()
 def p6_statistics(spark, sf):
-    return _statistics(spark, sf).distinct()
+    return _statistics(spark, sf)
 
 
 def _source_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,13 +195,17 @@ def p9_clamped_report(spark, sf):
 
 
 def _levels(spark: SparkSession, sf: str) -> DataFrame:
-    return reading_levels(table(spark, sf, "documents"), table(spark, sf, "reading_labels"))
+    return reading_levels(table(spark, sf, "documents"), table(spark, sf, "reading_labels"), common=_common_words(spark, sf))
+
+
+#: the calibrated level of demanding documents
+DEMANDING = 5
 
 
 @LLM.query()
 def p10_found(spark, sf):
-    # the calibrated level leaves the demanding half; the bounds of the definition decide
-    demanding = _levels(spark, sf).filter(F.col("is_english_prose") & (F.col("reading_level") >= 4))
+    demanding = _levels(spark, sf).filter(F.col("is_english_prose") & (F.col("reading_level") == DEMANDING))
+    # an exact check of the statement's bounds; the level has decided
     return demanding.filter((F.col("mean_sentence_words") > 30) & (F.col("long_word_share") > 0.25)).select("doc_id")
 
 

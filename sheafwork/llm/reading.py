@@ -3,15 +3,16 @@
 Words of all documents are ranked by frequency.  A document's coverage rank is
 the size of the smallest frequency-ranked vocabulary that covers a fixed share of
 its running words: plain texts are covered by few frequent words, demanding ones
-need many.  Coverage rank and sentence complexity are calibrated on a labelled
-sample by SQL aggregates, and the level is a SQL expression of them.
+need rarer ones.  Coverage rank and sentence complexity are calibrated on a
+labelled sample by SQL aggregates: each level has a centre, all levels share one
+spread, and the level of a document is that of the nearest centre, a SQL expression.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,15 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork.llm.common import scan_arrow
-from sheafwork.llm.textstats import NOT_PROSE, STUB_CHARS, line_kind, token_facts
-from sheafwork.session import materialise
+from sheafwork.llm.textstats import COMMON, NOT_PROSE, STUB_CHARS, facts_of_tokens, line_kind
+from sheafwork.session import broadcast_if_small, materialise
 
 #: share of a document's running words its vocabulary must cover
-COVERED = 0.9
+COVERED = 0.8
 #: the most frequent words given to every task (about 1 MB); documents that need rarer ones are looked up by a join
 HEAD_WORDS = 65_536
 #: running text is English if more than this share of its words are frequent English ones
 ENGLISH = 0.15
+#: up to so many different word frequencies their ranks are broadcast (16 bytes each); beyond it they join by shuffle
+FREQUENCY_ROWS = 1_000_000
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _HIDDEN = re.compile("[\u00ad\u200b\u200c\u200d\u2060\ufeff]")
@@ -53,12 +56,13 @@ def syllables(word: str) -> int:
 
 
 @lru_cache(maxsize=200_000)
-def token_reading(token: str) -> tuple[int, int, bool]:
-    """Words, words of three and more syllables, whether a sentence ends with the token."""
+def token_reading(token: str) -> tuple[int, int, int, bool]:
+    """Words, words of three and more and of five and more syllables, whether a sentence ends with the token."""
     words = words_of(token)
     ends = _ENDS.search(token)
     stop = ends is not None and not (ends.group()[0] == "." and (token[: ends.start()].lower().lstrip("(\"'“") in _SHORT or len(token) == 2 and token[0].isupper() and token[0] not in "IA"))
-    return len(words), sum(syllables(w) >= 3 for w in words), stop
+    lengths = [syllables(w) for w in words]
+    return len(words), sum(n >= 3 for n in lengths), sum(n >= 5 for n in lengths), stop
 
 
 def word_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -91,24 +95,27 @@ def ranked(frequencies: DataFrame) -> DataFrame:
     """(word, n, rank): words of equal frequency share the rank of the last of them.
 
     Ranks come from the number of words per frequency, a table far smaller than
-    the vocabulary, so no window runs over all words.
+    the vocabulary (frequencies that all differ add up to the square of their
+    number), so no window runs over all words.  It is broadcast if it is small,
+    as most words share the frequency 1.
     """
-    sizes = frequencies.groupBy("n").agg(F.count("*").alias("words"))
-    ranks = sizes.select("n", F.expr("sum(words) OVER (ORDER BY n DESC)").alias("rank"))
-    return frequencies.join(ranks, "n").select("word", "n", "rank")
+    counted = materialise(frequencies, "frequencies")
+    sizes = counted.groupBy("n").agg(F.count("*").alias("words"))
+    ranks, _ = broadcast_if_small(materialise(sizes.select("n", F.expr("sum(words) OVER (ORDER BY n DESC)").alias("rank")), "ranks"), FREQUENCY_ROWS)
+    return counted.join(ranks, "n").select("word", "n", "rank")
 
 
-_FEATURES = "n_words bigint, n_sentences bigint, n_long_words bigint, n_common bigint, body_chars bigint, prose_chars bigint"
+_FEATURES = "n_words bigint, n_sentences bigint, n_long_words bigint, n_longest_words bigint, n_common bigint, body_chars bigint, prose_chars bigint"
 
 
 class Reader:
     """Features of one text's running prose, headings aside."""
 
-    def __init__(self, head: dict[str, int], covered: float):
-        self.head, self.covered = head, covered
+    def __init__(self, head: dict[str, int], covered: float, common: Iterable[str] = COMMON):
+        self.head, self.covered, self.facts = head, covered, facts_of_tokens(frozenset(common))
 
     def __call__(self, text: str) -> tuple:
-        body_chars = prose_chars = words = long_words = sentences = common = 0
+        body_chars = prose_chars = words = long_words = longest_words = sentences = common = 0
         running: list[str] = []
         open_words = 0
         for line in (text if text.isascii() else _HIDDEN.sub("", text)).split("\n"):
@@ -118,16 +125,17 @@ class Reader:
             body = line.strip()
             if _HEADING.match(body):
                 continue
-            facts = list(map(sum, zip(*map(token_facts, tokens))))
+            facts = list(map(sum, zip(*map(self.facts, tokens))))
             body_chars += len(body)
             if line_kind(body, tokens, facts) != "prose":
                 continue
             prose_chars += len(body)
             common += facts[2]
             running += tokens
-            w, p, e = zip(*map(token_reading, tokens))
+            w, p, q, e = zip(*map(token_reading, tokens))
             words += sum(w)
             long_words += sum(p)
+            longest_words += sum(q)
             ends = sum(e)
             sentences += ends
             open_words = sum(w) + open_words if not ends else sum(w[len(e) - e[::-1].index(True) :])
@@ -154,7 +162,7 @@ class Reader:
                 rare = Counter()
             else:
                 need = int(target - held)
-        return (words, sentences, long_words, common, body_chars, prose_chars), rank, need, rare
+        return (words, sentences, long_words, longest_words, common, body_chars, prose_chars), rank, need, rare
 
     @staticmethod
     @lru_cache(maxsize=200_000)
@@ -162,29 +170,30 @@ class Reader:
         return tuple(w.lower() for w in words_of(token))
 
 
-def complexity(docs: DataFrame, key: str = "doc_id", text: str = "text", covered: float = COVERED, head_words: int = HEAD_WORDS) -> DataFrame:
-    """Features of every document: key, counts, coverage_rank, mean_sentence_words, long_word_share, prose_share, english_share.
+def complexity(docs: DataFrame, key: str = "doc_id", text: str = "text", covered: float = COVERED, head_words: int = HEAD_WORDS, common: Iterable[str] = COMMON) -> DataFrame:
+    """Features of every document: key, counts, coverage_rank, mean_sentence_words, long_word_share, longest_word_share, prose_share, english_share.
 
     Shares and means are 0 and the rank is null for a text without running words;
     null texts count as empty.  Repeated rows stay repeated.
     """
     spark = docs.sparkSession
     vocabulary = materialise(ranked(word_frequencies(docs, text)), "vocabulary")
-    # the most frequent words, at most head_words of them: a bounded table
-    head = {r.word: r.rank for r in vocabulary.orderBy("rank", "word").limit(head_words).collect()}
+    # a word of rank r is one of the r most frequent, so at most head_words words are collected
+    head = {r.word: r.rank for r in vocabulary.filter(F.col("rank") <= head_words).select("word", "rank").collect()}
     shared = spark.sparkContext.broadcast(head)
     types = dict(docs.dtypes)
+    frequent = frozenset(common)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value, covered)
+        reader = Reader(shared.value, covered, frequent)
         for batch in batches:
             found = [reader(t or "") for t in batch.column(1).to_pylist()]
-            counts = list(zip(*[f[0] for f in found])) if found else [[]] * 6
+            counts = list(zip(*[f[0] for f in found])) if found else [[]] * 7
             rare = [[{"word": w, "n": n} for w, n in f[3].items()] or None for f in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, pa.int64()) for c in counts], pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64()),
                  pa.array(rare, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))],
-                names=["k", "n_words", "n_sentences", "n_long_words", "n_common", "body_chars", "prose_chars", "rank", "need", "rare"],
+                names=["k", "n_words", "n_sentences", "n_long_words", "n_longest_words", "n_common", "body_chars", "prose_chars", "rank", "need", "rare"],
             )
 
     schema = f"k {types[key]}, {_FEATURES}, rank bigint, need bigint, rare array<struct<word string, n bigint>>"
@@ -202,44 +211,80 @@ def complexity(docs: DataFrame, key: str = "doc_id", text: str = "text", covered
     return full.select(
         F.col("k").alias(key), "n_words", "n_sentences", "n_long_words", "body_chars", F.coalesce("rank", "tail_rank").alias("coverage_rank"),
         share("n_words", "n_sentences").alias("mean_sentence_words"), share("n_long_words", "n_words").alias("long_word_share"),
-        share("prose_chars", "body_chars").alias("prose_share"), share("n_common", "n_words").alias("english_share"),
+        share("n_longest_words", "n_words").alias("longest_word_share"), share("prose_chars", "body_chars").alias("prose_share"), share("n_common", "n_words").alias("english_share"),
     )
 
 
-_TERMS = ["1.0", "ln(1.0 + coverage_rank)", "ln(1.0 + mean_sentence_words)", "long_word_share", "long_word_share * ln(1.0 + mean_sentence_words)"]
+_TERMS = ["ln(1.0 + coverage_rank)", "ln(1.0 + mean_sentence_words)", "long_word_share", "longest_word_share"]
+#: least spread of a term within a level, so that a term that never varies does not decide alone
+LEAST_SPREAD = 0.02
 
+#: texts of one level may be demanding in different ways (long sentences of plain words, short ones of long words): centres are kept per cell of these terms
+_CELL = "concat_ws(' ', cast(round(x1) AS int), cast(round(4 * x2) AS int))"
+#: a level that fewer of a cell's labels have is taken for wrong labels
+LEAST_SHARE = 0.15
 
-def calibrate(features: DataFrame, labels: DataFrame, key: str = "doc_id", level: str = "reading_level", rounds: int = 3, tolerance: float = 1.2, max_labels: int = 100_000) -> list[float]:
-    """Weights of the level's terms, least squares on at most ``max_labels`` labelled documents.
+#: of a centre: its level, the constant and the weights of the terms; the centre whose sum is greatest is the nearest
+Discriminants = list[tuple[int, float, list[float]]]
+
+
+def _nearest(found: Discriminants, terms: list[str]) -> str:
+    """The number from 1 of the centre with the greatest discriminant as a SQL expression."""
+    scores = "array(" + ", ".join(" + ".join([f"({constant!r})", *[f"({w!r}) * {t}" for w, t in zip(weights, terms)]]) for _, constant, weights in found) + ")"
+    return f"cast(array_position({scores}, array_max({scores})) AS int)"
 
-    The sums of products come from one SQL aggregate a round; rounds after the
-    first leave out labels further than ``tolerance`` from the fit, as some are wrong.
-    """
-    sample = labels.select(F.col(key).alias("_k"), F.col(level).cast("double").alias("_y")).filter(F.col("_y").isNotNull()).distinct().limit(max_labels)
-    rows = sample.join(features.filter(F.col("coverage_rank").isNotNull()), F.col("_k") == F.col(key))
-    rows = materialise(rows.select(*[F.expr(t).alias(f"x{i}") for i, t in enumerate(_TERMS)], F.col("_y").alias("y")), "labels")
-    n = len(_TERMS)
-    weights: list[float] | None = None
-    for _ in range(rounds):
-        used = rows if weights is None else rows.filter(F.abs(F.col("y") - F.expr(" + ".join(f"({w!r}) * x{i}" for i, w in enumerate(weights)))) <= tolerance)
-        sums = used.agg(*[F.expr(f"sum(x{i} * x{j})") for i in range(n) for j in range(n)], *[F.expr(f"sum(x{i} * y)") for i in range(n)], F.count("*")).first()
-        if not sums[-1]:
-            break
-        left = np.array(sums[: n * n], dtype=float).reshape(n, n) + 1e-6 * np.eye(n)
-        weights = [float(w) for w in np.linalg.solve(left, np.array(sums[n * n : n * n + n], dtype=float))]
-    return weights if weights is not None else [3.0, *[0.0] * (n - 1)]
 
+def _level(found: Discriminants, terms: list[str]) -> str:
+    return f"element_at(array({', '.join(str(y) for y, _, _ in found)}), {_nearest(found, terms)})"
 
-def reading_levels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", levels: int = 5, **options) -> DataFrame:
-    """Features, score and reading_level (1 easy to ``levels`` demanding) of every document.
 
-    ``reading_level`` is null for a text without running words.
-    ``is_english_prose`` tells running English text from tables, lists, junk and
-    other languages, whose level is that of the little running text they have.
+def calibrate(features: DataFrame, labels: DataFrame, key: str = "doc_id", level: str = "reading_level", rounds: int = 4, max_labels: int = 100_000) -> Discriminants:
+    """Linear discriminants of the levels' centres among at most ``max_labels`` labelled documents; none without labels.
+
+    The first centres are the medians of a level's labels in a cell, as some
+    labels are wrong.  Every round after takes means and products of the terms,
+    one SQL aggregate with a row per centre, over the labels the last round agreed with.
+    """
+    sample = labels.select(F.col(key).alias("_k"), F.col(level).cast("int").alias("y")).filter(F.col("y").isNotNull()).distinct().limit(max_labels)
+    rows = sample.join(features.filter(F.col("coverage_rank").isNotNull()), F.col("_k") == F.col(key))
+    rows = materialise(rows.select(*[F.expr(t).cast("double").alias(f"x{i}") for i, t in enumerate(_TERMS)], "y").withColumn("cell", F.expr(_CELL)), "labels")
+    n, names = len(_TERMS), [f"x{i}" for i in range(len(_TERMS))]
+    middle = [F.expr(f"percentile_approx({x}, array(0.25, 0.5, 0.75))").alias(x) for x in names]
+    cells = rows.groupBy("y", "cell").agg(F.count("*").alias("n"), *middle).withColumn("share", F.expr("n / sum(n) OVER (PARTITION BY cell)"))
+    kept = cells.filter(F.col("share") >= LEAST_SHARE).orderBy("y", "cell").collect()
+    if not kept:
+        return []
+    centres = [(r.y, np.array([r[x][1] for x in names])) for r in kept]
+    spread = np.average([[(r[x][2] - r[x][0]) / 1.35 for x in names] for r in kept], axis=0, weights=[r.n for r in kept])
+    found = _discriminants(centres, np.diag(1 / (spread**2 + LEAST_SPREAD**2)))
+    for _ in range(rounds):
+        placed = rows.withColumn("at", F.expr(_nearest(found, names))).filter(F.expr(_level(found, names)) == F.col("y"))
+        sums = placed.groupBy("at").agg(F.count("*").alias("n"), *[F.avg(x).alias(f"m{i}") for i, x in enumerate(names)], *[F.expr(f"avg(x{i} * x{j})").alias(f"p{i}_{j}") for i in range(n) for j in range(n)]).collect()
+        pooled, total = np.zeros((n, n)), 0
+        for r in sums:
+            mean = np.array([r[f"m{i}"] for i in range(n)])
+            centres[r["at"] - 1] = (centres[r["at"] - 1][0], mean)
+            pooled += r.n * (np.array([[r[f"p{i}_{j}"] for j in range(n)] for i in range(n)]) - np.outer(mean, mean))
+            total += r.n
+        if total:
+            found = _discriminants(centres, np.linalg.inv(pooled / total + LEAST_SPREAD**2 * np.eye(n)))
+    return found
+
+
+def _discriminants(centres: list[tuple[int, np.ndarray]], inverse: np.ndarray) -> Discriminants:
+    return [(y, float(-0.5 * m @ inverse @ m), [float(w) for w in inverse @ m]) for y, m in centres]
+
+
+def reading_levels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", common: Iterable[str] = COMMON, **options) -> DataFrame:
+    """Features and reading_level (of the labels' levels, 1 easy to 5 demanding) of every document.
+
+    ``reading_level`` is null for a text without running words, and for all if
+    there are no labels.  ``is_english_prose`` tells running English text, by the
+    frequent words in ``common``, from tables, lists, junk and other languages,
+    whose level is that of the little running text they have.
     """
-    features = materialise(complexity(docs, key, text, **options), "complexity")
-    weights = calibrate(features, labels, key)
-    score = F.expr(" + ".join(f"({w!r}) * {t}" for w, t in zip(weights, _TERMS)))
+    features = materialise(complexity(docs, key, text, common=common, **options), "complexity")
+    found = calibrate(features, labels, key)
     prose = (F.col("prose_share") >= 1 - NOT_PROSE) & (F.col("english_share") > ENGLISH) & (F.col("body_chars") >= STUB_CHARS)
-    level = F.when(F.col("score").isNotNull(), F.least(F.greatest(F.round("score"), F.lit(1)), F.lit(levels)).cast("int"))
-    return features.withColumn("score", score).select("*", level.alias("reading_level"), prose.alias("is_english_prose"))
+    level = F.expr(f"CASE WHEN coverage_rank IS NOT NULL THEN {_level(found, _TERMS)} END") if found else F.lit(None).cast("int")
+    return features.select("*", level.alias("reading_level"), prose.alias("is_english_prose"))
