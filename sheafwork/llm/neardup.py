@@ -9,15 +9,19 @@ single text come first and can match nothing, so they need no posting.
 
 1.  Texts are cut into runs once.  Runs travel as packed arrays to the bucket of
     their hash, where occurrences are counted, and the counts of the shared ones
-    travel back to the batch of texts they came from.
+    travel back to the batch of texts they came from.  A run that many texts of a
+    batch share is counted there and travels once, so even a run in every text
+    brings its bucket a few entries per batch of texts.
 2.  Texts with equal size and equal posted prefix, all exact copies among them,
     collapse into one group.  Groups, not texts, are posted, again as packed
     arrays, and joined on the posted runs, filtered by size and position.
 3.  Members of the groups are expanded to their different sets, and each pair of
-    sets is verified exactly.
+    sets is verified exactly: a set meets up to ``partners`` of its partners at a
+    time, so it travels once per so many pairs.
 
 Nothing is sampled or capped and no list of a run's texts is dropped.  A list
-longer than ``LIST_BLOCK`` is cut into blocks whose pairs are separate tasks.
+longer than ``list_block`` is cut into blocks, each sent once, whose pairs are
+made and compared by separate tasks.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +45,26 @@ _WORDS = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
 
-#: texts whose runs are packed together; bounded by rows and by characters
-BATCH_TEXTS, BATCH_CHARS = 4096, 8_000_000
-#: runs counted together in one bucket, about
-BUCKET_RUNS = 1_500_000
-#: entries of one run's list that are paired at a time
-LIST_BLOCK = 2000
-#: up to so many rows (24 bytes each) the list of texts to verify is broadcast; beyond it joins by shuffle
-BROADCAST_ROWS = 500_000
+
+@dataclass(frozen=True)
+class Limits:
+    """Sizes of the pieces in which the work is done; none changes the result."""
+
+    #: texts whose runs are packed together, by number (at most 65,536) and by characters
+    batch_texts: int = 4096
+    batch_chars: int = 8_000_000
+    #: runs counted together in one bucket, about
+    bucket_runs: int = 1_500_000
+    #: a run in at least so many texts of a batch is counted within the batch
+    heavy: int = 8
+    #: entries of one run's list that are paired at a time
+    list_block: int = 16_384
+    #: partners a set is compared with in one task row
+    partners: int = 32
+    #: up to so many rows (24 bytes each) the list of texts to verify is broadcast; beyond it a bitmap of their hashes is
+    broadcast_rows: int = 500_000
+    #: bits of that bitmap (16 MB), a power of two; texts it lets pass by chance find no partner in the join
+    bitmap_bits: int = 1 << 27
 
 
 def words_of(text: str) -> list[str]:
@@ -97,8 +114,8 @@ def field_salt(field: str) -> np.uint64:
 
 _PACKED = "kind int, bucket bigint, batch string, a binary, b binary"
 _KINDS = [pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
-#: kinds of packed rows: the texts of a batch, runs of a bucket, runs paired within a block
-TEXTS, RUNS, BLOCKS = 0, 1, 2
+#: kinds of packed rows: the texts of a batch, runs of a bucket, blocks of a long list, runs counted within the batch
+TEXTS, RUNS, BLOCKS, COUNTED = 0, 1, 2, 3
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -124,6 +141,12 @@ def _by_bucket(values: np.ndarray, owner: np.ndarray, n_owners: int, buckets: in
             yield b, at, np.bincount(owner[at], minlength=n_owners)
 
 
+def _short(runs: np.ndarray, buckets: int) -> np.ndarray:
+    """Runs as they come back from their buckets: 32 bits and the bucket tell them apart."""
+    n = np.uint64(buckets)
+    return (runs // n).astype(np.uint32).astype(np.uint64) * n + runs % n
+
+
 def _small(counts: np.ndarray) -> bytes:
     """Counts in the least number of bytes, which the first byte tells."""
     width = 1 if counts.max(initial=0) < 256 else 2 if counts.max() < 65536 else 4
@@ -134,7 +157,7 @@ def _unsmall(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, f"<u{blob[0]}", offset=1).astype(np.int64)
 
 
-def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: int, limits: Limits) -> Iterator[pa.RecordBatch]:
     """Texts to rows of packed runs per bucket, and one row with the batch's texts."""
     hasher = RunHasher(k)
     task = TaskContext.get().partitionId()
@@ -147,9 +170,19 @@ def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: in
         runs = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         table = pa.table({"key": [d[0] for d in docs], "field": [d[1] for d in docs], "n": pa.array([len(s) for s in sets], pa.int32()), "sig": [_signature(s) for s in sets]})
-        rows = [(TEXTS, xxhash.xxh32_intdigest(name) % buckets, name, _ipc(table), None)]
-        rest = (runs // np.uint64(buckets)).astype(np.uint32)
-        rows += [(RUNS, b, name, rest[at].tobytes(), _small(counts)) for b, at, counts in _by_bucket(runs, owner, len(sets), buckets)]
+        order = np.argsort(runs, kind="stable")
+        starts = np.flatnonzero(np.r_[True, runs[order[1:]] != runs[order[:-1]]])
+        counts = np.diff(np.r_[starts, len(runs)])
+        many = np.repeat(counts >= limits.heavy, counts)
+        shared, times = runs[order[starts[counts >= limits.heavy]]], counts[counts >= limits.heavy].astype(np.uint32)
+        # a run's owners stay with the texts; bucket -1 - x keeps this row apart from runs
+        held = np.uint32(len(shared)).tobytes() + _short(shared, buckets).tobytes() + times.tobytes() + owner[order[many]].astype(np.uint16).tobytes()
+        rows = [(TEXTS, -1 - xxhash.xxh32_intdigest(name) % buckets, name, _ipc(table), held)]
+        light = np.sort(order[~many])
+        rest = (runs[light] // np.uint64(buckets)).astype(np.uint32)
+        rows += [(RUNS, b, name, rest[at].tobytes(), _small(per)) for b, at, per in _by_bucket(runs[light], owner[light], len(sets), buckets)]
+        rest = (shared // np.uint64(buckets)).astype(np.uint32)
+        rows += [(COUNTED, b, name, rest[at].tobytes(), times[at].tobytes()) for b, at, _ in _by_bucket(shared, np.zeros(len(shared), np.int64), 1, buckets)]
         return _packed(rows)
 
     docs, sets, chars = [], [], 0
@@ -161,7 +194,7 @@ def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: in
             docs.append((key, field))
             sets.append(hasher(words) ^ field_salt(field))
             chars += len(text)
-            if len(docs) == BATCH_TEXTS or chars > BATCH_CHARS:
+            if len(docs) == limits.batch_texts or chars > limits.batch_chars:
                 yield flush(docs, sets)
                 docs, sets, chars = [], [], 0
     if docs:
@@ -174,23 +207,28 @@ def _count(table: pa.Table) -> pa.Table:
     ``a`` then holds the runs' remainders (4 bytes each) followed by a byte each
     that grades the count, a function of the run alone.
     """
-    if table.column("kind")[0].as_py() == TEXTS:
-        return table
     bucket = table.column("bucket")[0].as_py()
+    if bucket < 0:
+        return table
+    kinds, names, blobs = (table.column(c).to_pylist() for c in ("kind", "batch", "b"))
     runs = [np.frombuffer(x, np.uint32) for x in table.column("a").to_pylist()]
+    times = [np.frombuffer(b, np.uint32) if k == COUNTED else np.ones(len(r), np.uint32) for k, r, b in zip(kinds, runs, blobs)]
     every = np.concatenate(runs)
     order = np.argsort(every, kind="stable")
     ordered = every[order]
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    counts = np.diff(np.r_[starts, len(ordered)])
+    counts = np.add.reduceat(np.concatenate(times)[order].astype(np.int64), starts)
     # small counts stay exact, large ones are told apart by eighths of a power of two
     level = np.where(counts < 32, counts, np.minimum(255, 32 + np.floor(8 * np.log2(np.maximum(counts, 32) / 32)))).astype(np.uint8)
     grade = np.empty(len(every), dtype=np.uint8)
-    grade[order] = np.repeat(level, counts)
+    grade[order] = np.repeat(level, np.diff(np.r_[starts, len(ordered)]))
     out, at = [], 0
-    for name, r, blob in zip(table.column("batch").to_pylist(), runs, table.column("b").to_pylist()):
+    for kind, name, r, blob in zip(kinds, names, runs, blobs):
         g = grade[at : at + len(r)]
         at += len(r)
+        if kind == COUNTED:
+            out.append((COUNTED, bucket, name, r.tobytes() + g.tobytes(), None))
+            continue
         keep = g > 1
         if keep.any():
             per = _unsmall(blob)
@@ -201,15 +239,26 @@ def _count(table: pa.Table) -> pa.Table:
 
 def _choose(table: pa.Table, threshold: float, buckets: int, posting_buckets: int) -> pa.Table:
     """One batch: each text's group and posted prefix, from the counts that came back; texts that can have no partner drop out."""
-    docs, parts, name = None, [], table.column("batch")[0].as_py()
+    docs, held, parts, counted, name = None, b"", [], [], table.column("batch")[0].as_py()
     for kind, bucket, a, b in zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "a", "b"))):
         if kind == TEXTS:
-            docs = pa.ipc.open_stream(a).read_all()
+            docs, held = pa.ipc.open_stream(a).read_all(), b
             continue
         n = len(a) // 5
         r = np.frombuffer(a, np.uint32, n).astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
-        per = _unsmall(b)
-        parts.append((r, np.repeat(np.arange(len(per)), per), np.frombuffer(a, np.uint8, n, 4 * n)))
+        g = np.frombuffer(a, np.uint8, n, 4 * n)
+        if kind == COUNTED:
+            counted.append((r, g))
+        else:
+            per = _unsmall(b)
+            parts.append((r, np.repeat(np.arange(len(per)), per), g))
+    if counted:
+        m = int(np.frombuffer(held, np.uint32, 1)[0])
+        shared, times = np.frombuffer(held, np.uint64, m, 4), np.frombuffer(held, np.uint32, m, 4 + 8 * m)
+        r, g = (np.concatenate(x) for x in zip(*counted))
+        order = np.argsort(r)
+        g = g[order[np.searchsorted(r[order], shared)]]
+        parts.append((np.repeat(shared, times), np.frombuffer(held, np.uint16, offset=4 + 12 * m).astype(np.int64), np.repeat(g, times)))
     if not parts:
         return pa.Table.from_batches([_packed([])])
     runs, owner, grade = (np.concatenate(x) for x in zip(*parts))
@@ -290,41 +339,61 @@ def _list_pairs(lo: np.ndarray, hi: np.ndarray, facts: tuple, t: float) -> np.nd
     return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
 
 
-def _pair_up(table: pa.Table, t: float) -> pa.Table:
-    """One bucket: pairs of groups sharing a posted run.  Lists over ``LIST_BLOCK`` leave as pairs of blocks."""
+def _pair_up(table: pa.Table, t: float, block: int) -> pa.Table:
+    """One bucket: pairs of groups sharing a posted run.  Lists over ``list_block`` leave as blocks, each once."""
+    bucket = table.column("bucket")[0].as_py()
     run, *facts = _post_entries(table)
     starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
     sizes = np.diff(np.r_[starts, len(run)])
     ends = np.repeat(starts + sizes, sizes)
     lo, hi = np.arange(len(run)) + 1, ends.copy()
-    long = np.repeat(sizes > LIST_BLOCK, sizes)
+    long = np.repeat(sizes > block, sizes)
     hi[long] = 0
     rows = [(RUNS, 0, "", _list_pairs(lo, hi, tuple(facts), t).tobytes(), None)]
-    for s, size in zip(starts[sizes > LIST_BLOCK], sizes[sizes > LIST_BLOCK]):
-        blocks = [np.stack([f[i : min(i + LIST_BLOCK, s + size)] for f in facts]) for i in range(s, s + size, LIST_BLOCK)]
-        for i, x in enumerate(blocks):
-            for j in range(i, len(blocks)):
-                if x[1, -1] >= t * blocks[j][1, 0] - 1e-9:  # sizes ascend: blocks too far apart in size cannot pair
-                    rows.append((BLOCKS, xxhash.xxh64_intdigest(f"{run[s]} {i} {j}") >> 1, "", x.tobytes(), blocks[j].tobytes() if j > i else None))
+    for s, size in zip(starts[sizes > block], sizes[sizes > block]):
+        blocks = [np.stack([f[i : min(i + block, s + size)] for f in facts]) for i in range(s, s + size, block)]
+        reach = np.array([(x[1, 0], x[1, -1]) for x in blocks], np.int64).tobytes()  # least and greatest size of each block
+        rows += [(BLOCKS, i, f"{bucket} {run[s]}", x.tobytes(), reach) for i, x in enumerate(blocks)]
     return pa.Table.from_batches([_packed(rows)])
 
 
-def _pair_blocks(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBatch]:
-    """Packed pairs to rows; pairs of blocks are compared here."""
+def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for blob in batch.column(0).to_pylist():
+            yield _as_pairs(np.frombuffer(blob, np.int64).reshape(-1, 2))
+
+
+def _as_pairs(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["gid_a", "gid_b"])
+
+
+_CELLS = "list string, low bigint, high bigint, at bigint, block binary"
+
+
+def _cells(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBatch]:
+    """A block of a list goes to the cells it shares with every block not too far from it in size, one at a time."""
     for batch in batches:
-        for kind, a, b in zip(*(batch.column(c).to_pylist() for c in ("kind", "a", "b"))):
-            if kind == RUNS:
-                pairs = np.frombuffer(a, np.int64).reshape(-1, 2)
-            else:
-                x = np.frombuffer(a, np.int64).reshape(4, -1)
-                m = x.shape[1]
-                if b is None:
-                    facts, lo, hi = x, np.arange(m) + 1, np.full(m, m)
-                else:
-                    facts = np.concatenate([x, np.frombuffer(b, np.int64).reshape(4, -1)], axis=1)
-                    lo, hi = np.full(m, m), np.full(m, facts.shape[1])
-                pairs = _list_pairs(lo, hi, tuple(facts), t)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["gid_a", "gid_b"])
+        for name, i, block, reach in zip(*(batch.column(c).to_pylist() for c in ("batch", "bucket", "a", "b"))):
+            sizes = np.frombuffer(reach, np.int64).reshape(-1, 2)
+            for j in range(len(sizes)):
+                low, high = min(i, j), max(i, j)
+                if sizes[low, 1] >= t * sizes[high, 0] - 1e-9:  # sizes ascend
+                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (name, low, high, i, block)], names=["list", "low", "high", "at", "block"])
+
+
+def _pair_cell(table: pa.Table, t: float) -> pa.Table:
+    """Two blocks of a list, or one with itself: their pairs that pass."""
+    blocks = [np.frombuffer(b, np.int64).reshape(4, -1) for _, b in sorted(zip(table.column("at").to_pylist(), table.column("block").to_pylist()), key=lambda x: x[0])]
+    m = blocks[0].shape[1]
+    if len(blocks) == 1:
+        facts, lo, hi = blocks[0], np.arange(m) + 1, np.full(m, m)
+    else:
+        facts = np.concatenate(blocks, axis=1)
+        lo, hi = np.full(m, m), np.full(m, facts.shape[1])
+    return pa.Table.from_batches([_as_pairs(_list_pairs(lo, hi, tuple(facts), t))])
+
+
+_SETS = "sig binary, runs array<bigint>"
 
 
 def _open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,15 +402,47 @@ def _open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield from pa.ipc.open_stream(blob).read_all().to_batches()
 
 
-def _fetch_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def _fetch_sets(batches: Iterator[pa.RecordBatch], k: int, bitmap: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """(sig, runs) of the texts whose hash is in the bitmap, if there is one; a set once per task, however many copies it has."""
     hasher = RunHasher(k)
+    sent: set[bytes] = set()
     for batch in batches:
-        sets = [hasher(words_of(t)) ^ field_salt(f) for f, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        if bitmap is not None:
+            h = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64) & (64 * len(bitmap) - 1)
+            batch = batch.filter(pa.array((bitmap[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1))
+        sets = [hasher(w) ^ field_salt(f) for f, w in zip(batch.column(1).to_pylist(), map(words_of, batch.column(2).to_pylist())) if len(w) >= k]
         # a key may have several texts in a field, so sets are told apart by their signature
-        yield pa.RecordBatch.from_arrays([pa.array([_signature(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["sig", "runs"])
-
-
-def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50) -> tuple[DataFrame, DataFrame]:
+        fresh = {sig: runs for sig, runs in ((_signature(x), x) for x in sets) if sig not in sent}
+        sent.update(fresh)
+        yield pa.RecordBatch.from_arrays([pa.array(list(fresh), pa.binary()), pa.array([x.view(np.int64) for x in fresh.values()], pa.list_(pa.int64()))], names=["sig", "runs"])
+
+
+def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of ``bits`` bits of the column h; at most one row per 64 bits is collected."""
+    low = hashes.select(F.col("h").bitwiseAND(bits - 1).alias("b"))
+    words = low.groupBy(F.shiftright("b", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(b & 63L AS int)))").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    out[words.column("w").to_numpy()] = words.column("bits").to_numpy().astype(np.int64).view(np.uint64)
+    return out
+
+
+def _verify(table: pa.Table, threshold: float) -> pa.Table:
+    """One set and some of its partners: the partners at or above the threshold."""
+    hub = table.column("hub")[0].as_py()
+    sets = dict(zip(table.column("sig").to_pylist(), zip(table.column("left").to_pylist(), (np.asarray(x) for x in table.column("runs").to_numpy()))))
+    own = sets[hub][1]
+    found = []
+    for sig, (left, runs) in sets.items():
+        if not left:
+            common = len(np.intersect1d(own, runs, assume_unique=True))
+            similarity = common / (len(own) + len(runs) - common)
+            if similarity >= threshold - 1e-12:
+                found.append((min(hub, sig), max(hub, sig), similarity))
+    a, b, x = zip(*found) if found else ([], [], [])
+    return pa.table({"sig_a": pa.array(a, pa.binary()), "sig_b": pa.array(b, pa.binary()), "similarity": pa.array(x, pa.float64())})
+
+
+def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50, limits: Limits = Limits()) -> tuple[DataFrame, DataFrame]:
     """``(members, links)`` of texts(key, field, text); similarity only within a field.
 
     ``members``: key, field, sig for every text that may have a partner; texts
@@ -353,10 +454,10 @@ def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words
     plain = texts.select(F.col("key").cast("string"), F.col("field").cast("string"), "text").filter(F.col("text").isNotNull())
     # about one run per six characters
     chars = plain.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
-    buckets = max(4, int(chars / 6 / BUCKET_RUNS) + 1)
+    buckets = max(4, int(chars / 6 / limits.bucket_runs) + 1)
     posting_buckets = max(4, buckets // 4)
-    packed = scan_arrow(plain, lambda b: _pack(b, k, min_words, buckets), _PACKED)
-    counted = packed.groupBy("bucket", "kind").applyInArrow(lambda t: _count(t), _PACKED)
+    packed = scan_arrow(plain, lambda b: _pack(b, k, min_words, buckets, limits), _PACKED)
+    counted = packed.groupBy("bucket").applyInArrow(lambda t: _count(t), _PACKED)
     chosen = materialise(counted.groupBy("batch").applyInArrow(lambda t: _choose(t, threshold, buckets, posting_buckets), _PACKED), "posted")
 
     member_schema = "key string, field string, sig binary, gid bigint"
@@ -364,33 +465,36 @@ def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words
     sets = members.groupBy("sig").agg(F.min("gid").alias("gid"), F.min(F.struct("key", "field")).alias("first"))
     sets = materialise(sets.select("sig", "gid", F.xxhash64("first.key", "first.field").alias("h")), "sets")
 
-    paired = chosen.filter(F.col("kind") == RUNS).groupBy("bucket").applyInArrow(lambda t: _pair_up(t, threshold), _PACKED)
-    spread = paired.repartition("kind", "bucket")
-    groups = spread.mapInArrow(lambda b: _pair_blocks(b, threshold), "gid_a bigint, gid_b bigint").distinct()
+    paired = materialise(chosen.filter(F.col("kind") == RUNS).groupBy("bucket").applyInArrow(lambda t: _pair_up(t, threshold, limits.list_block), _PACKED), "paired")
+    short = paired.filter(F.col("kind") == RUNS).select("a").mapInArrow(_open_pairs, "gid_a bigint, gid_b bigint")
+    cells = paired.filter(F.col("kind") == BLOCKS).repartition("batch", "bucket").mapInArrow(lambda b: _cells(b, threshold), _CELLS)
+    long = cells.groupBy("list", "low", "high").applyInArrow(lambda t: _pair_cell(t, threshold), "gid_a bigint, gid_b bigint")
+    groups = short.unionByName(long).distinct()
     left, right = (sets.select(F.col("gid").alias(f"gid_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("h").alias(f"h_{s}")) for s in "ab")
     across = groups.join(left, "gid_a").join(right, "gid_b").select("sig_a", "h_a", "sig_b", "h_b")
     same = left.join(right, (F.col("gid_a") == F.col("gid_b")) & (F.col("sig_a") < F.col("sig_b"))).select("sig_a", "h_a", "sig_b", "h_b")
-    candidates = materialise(across.unionByName(same).withColumn("pair", F.xxhash64("sig_a", "sig_b")), "candidates")
-
-    ends = candidates.select("pair", F.explode(F.array("h_a", "h_b")).alias("h"))
-    wanted, _ = broadcast_if_small(materialise(ends.select("h").distinct(), "wanted"), BROADCAST_ROWS)
-    fetch = plain.withColumn("h", F.xxhash64("key", "field")).join(wanted, "h", "left_semi").select("h", "field", "text")
-    fetched = scan_arrow(fetch, lambda b: _fetch_sets(b, k), "sig binary, runs array<bigint>")
-    sides = candidates.select("pair", F.inline(F.expr("array(struct(sig_a AS sig, true AS left), struct(sig_b AS sig, false AS left))")))
-    sides, _ = broadcast_if_small(sides, BROADCAST_ROWS)
-    # each set goes once to each of its pairs
-    both = fetched.join(sides, "sig").groupBy("pair").agg(
-        F.first(F.when(F.col("left"), F.col("runs")), ignorenulls=True).alias("x"), F.first(F.when(~F.col("left"), F.col("runs")), ignorenulls=True).alias("y")
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    scored = both.select("pair", (common / (F.size("x") + F.size("y") - common)).alias("similarity")).filter(F.col("similarity") >= threshold - 1e-12)
-    links = candidates.join(scored, "pair").select(F.least("sig_a", "sig_b").alias("sig_a"), F.greatest("sig_a", "sig_b").alias("sig_b"), "similarity").distinct()
+    candidates = materialise(across.unionByName(same), "candidates")
+
+    wanted = materialise(candidates.select(F.explode(F.array("h_a", "h_b")).alias("h")).distinct(), "wanted")
+    small, few = broadcast_if_small(wanted, limits.broadcast_rows)
+    hashed = plain.select(F.xxhash64("key", "field").alias("h"), "field", "text")
+    if few:
+        fetched = scan_arrow(hashed.join(small, "h", "left_semi"), lambda b: _fetch_sets(b, k), _SETS)
+    else:  # texts are not shuffled to find the wanted ones
+        shared = plain.sparkSession.sparkContext.broadcast(_bitmap(wanted, limits.bitmap_bits))
+        fetched = scan_arrow(hashed, lambda b: _fetch_sets(b, k, shared.value), _SETS)
+    # a set meets its partners in rows of ``partners``, so it travels once for so many of its pairs
+    hubs = candidates.select(F.col("sig_a").alias("hub"), "sig_b", F.expr(f"cast(floor((row_number() OVER (PARTITION BY sig_a ORDER BY sig_b) - 1) / {limits.partners}) AS int)").alias("chunk"))
+    hubs = materialise(hubs, "hubs")
+    sides = hubs.select("hub", "chunk", F.col("sig_b").alias("sig"), F.lit(False).alias("left")).unionByName(hubs.select("hub", "chunk", F.col("hub").alias("sig"), F.lit(True).alias("left")).distinct())
+    sides, _ = broadcast_if_small(sides, limits.broadcast_rows)
+    links = fetched.join(sides, "sig").groupBy("hub", "chunk").applyInArrow(lambda t: _verify(t, threshold), "sig_a binary, sig_b binary, similarity double").distinct()
     return members.select("key", "field", "sig").distinct(), links
 
 
-def duplicate_pairs(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50) -> DataFrame:
+def duplicate_pairs(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50, limits: Limits = Limits()) -> DataFrame:
     """Every pair of different keys (key_a < key_b) similar in some field, copies included; one row per pair and field."""
-    members, links = similar_sets(texts, threshold, k, min_words)
+    members, links = similar_sets(texts, threshold, k, min_words, limits)
     m = materialise(members, "members")
     a, b = (m.select("field", F.col("sig").alias(f"sig_{s}"), F.col("key").alias(f"k{s}")) for s in "ab")
     across = links.join(a, "sig_a").join(b.drop("field"), "sig_b").select("field", "ka", "kb", "similarity")
@@ -399,14 +503,14 @@ def duplicate_pairs(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_wo
     return every.select("field", F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"), "similarity").distinct()
 
 
-def duplicate_groups(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50) -> DataFrame:
+def duplicate_groups(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50, limits: Limits = Limits()) -> DataFrame:
     """One row per key: group_id (the smallest key of its connected group) and n_links (links to other sets).
 
     Keys that are similar to none form their own group with 0 links.  Groups are
     the connected components of the links over all fields, by repeated
     minimum propagation with pointer jumping; labels stay in tables.
     """
-    members, links = similar_sets(texts, threshold, k, min_words)
+    members, links = similar_sets(texts, threshold, k, min_words, limits)
     m = materialise(members, "members")
     ends = links.select(F.hex("sig_a").alias("a"), F.hex("sig_b").alias("b"))
     ends = materialise(ends, "links")

@@ -2,8 +2,10 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from sheafwork.llm import neardup as N
+from sheafwork.llm.common import scan_arrow
 
 SCHEMA = "key string, field string, text string"
 
@@ -48,38 +50,59 @@ def test_pairs_equal_brute_force(spark):
         assert {(r.field, r.key_a, r.key_b) for r in found.collect()} == brute(list(dict.fromkeys(rows)), t)
 
 
-def test_small_batches_and_blocks_change_nothing(spark, monkeypatch):
+TINY = N.Limits(batch_texts=9, bucket_runs=500, heavy=2, list_block=7, partners=3, broadcast_rows=0, bitmap_bits=1 << 10)
+
+
+def test_small_pieces_change_nothing(spark):
     rng = random.Random(7)
     shared = " ".join(f"s{i}" for i in range(60))
     # one run list shared by many different texts, so that lists are cut into blocks
     rows = [(f"k{i:03d}", "A", shared + " " + " ".join(f"u{i}x{j}" for j in range(rng.randint(5, 40)))) for i in range(60)]
-    rows += [(f"c{i}", "A", rows[0][2]) for i in range(5)]
+    rows += [(f"c{i}", "A", rows[0][2]) for i in range(5)] + corpus(4, 40)
     expected = brute(rows, 0.6)
-    monkeypatch.setattr(N, "LIST_BLOCK", 7)
-    monkeypatch.setattr(N, "BROADCAST_ROWS", 0)
-    found = N.duplicate_pairs(spark.createDataFrame(rows, SCHEMA), 0.6)
+    found = N.duplicate_pairs(spark.createDataFrame(rows, SCHEMA).repartition(3), 0.6, limits=TINY)
     assert {(r.field, r.key_a, r.key_b) for r in found.collect()} == expected and expected
 
 
-def test_blocks_of_a_list_pair_like_the_list(monkeypatch):
+def test_a_run_in_every_text_brings_its_bucket_few_entries(spark):
+    """One task counts a run in all texts: it gets an entry per batch, not one per text."""
+    rng = random.Random(2)
+    hot = "notice to all holders of the securities named in this report"
+    rows = [(f"k{i}", "A", hot + " " + " ".join(f"u{rng.getrandbits(40)}" for _ in range(45))) for i in range(6000)]
+    texts = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    packed = [pa.RecordBatch.from_pylist(x) for x in packed_rows(texts, N.Limits(batch_texts=1000))]
+    entries = {}
+    for row in (r for batch in packed for r in batch.to_pylist()):
+        if row["bucket"] >= 0:
+            for run in np.frombuffer(row["a"], np.uint32).tolist():
+                entries[row["bucket"], run] = entries.get((row["bucket"], run), 0) + 1
+    assert max(entries.values()) <= 7  # batches, of 6,000 texts
+    assert N.duplicate_pairs(texts, 0.6).count() == 0
+
+
+def packed_rows(texts, limits):
+    yield scan_arrow(texts, lambda b: N._pack(b, 5, 50, 4, limits), N._PACKED).toArrow().to_pylist()
+
+
+def test_blocks_of_a_list_pair_like_the_list():
     rng = np.random.default_rng(1)
     m = 50
     n = np.sort(rng.integers(10, 30, m))
     facts = (np.arange(m) * 3, n, n.copy(), np.minimum(rng.integers(1, 4, m), n))
     lo, hi = np.arange(m) + 1, np.full(m, m)
     whole = {tuple(p) for p in N._list_pairs(lo, hi, facts, 0.6)}
-    blocks = [tuple(f[i : i + 8] for f in facts) for i in range(0, m, 8)]
+    blocks = [np.stack([f[i : i + 8] for f in facts]) for i in range(0, m, 8)]
+    reach = np.array([(x[1, 0], x[1, -1]) for x in blocks], np.int64).tobytes()
+    sent = pa.RecordBatch.from_pylist([{"batch": "x", "bucket": i, "a": x.tobytes(), "b": reach} for i, x in enumerate(blocks)])
+    cells = {}
+    for out in N._cells(iter([sent]), 0.6):
+        r = out.to_pylist()[0]
+        cells.setdefault((r["low"], r["high"]), []).append(r)
     parts = set()
-    for i, x in enumerate(blocks):
-        for j in range(i, len(blocks)):
-            a = np.stack(x).tobytes()
-            b = np.stack(blocks[j]).tobytes() if j > i else None
-            import pyarrow as pa
-
-            batch = pa.RecordBatch.from_arrays([pa.array([N.BLOCKS]), pa.array([a], pa.binary()), pa.array([b], pa.binary())], names=["kind", "a", "b"])
-            for out in N._pair_blocks([batch], 0.6):
-                parts |= set(zip(out.column(0).to_pylist(), out.column(1).to_pylist()))
-    assert parts == whole and whole
+    for rows in cells.values():
+        out = N._pair_cell(pa.Table.from_pylist(rows), 0.6)
+        parts |= set(zip(out.column(0).to_pylist(), out.column(1).to_pylist()))
+    assert parts == whole and whole and len(cells) <= 28
 
 
 def test_groups(spark):
