@@ -3,15 +3,16 @@
 Source rows are deliveries: each carries the record's key, a version time
 (``modified_at``) and an arrival time (``received_at``).  Arrival is the
 monotonic commit sequence.  A run fixes its upper bound when it starts, handles
-what arrived in ``(watermark, upper]``, and commits its output together with the
-new watermark in one atomic step; a run that fails commits neither, so the next
-run starts from the same watermark and nothing is skipped or repeated.
+what arrived up to it since the watermark, and commits its output together with
+the new watermark in one atomic step; a run that fails commits neither, so the
+next run starts from the same watermark and nothing is skipped or repeated.
 
-Two entry points share one plan, :func:`changes_in_windows`:
+Two entry points give the same changes:
 
 * :func:`replay_runs` derives the windows from a ledger of runs and returns what
   every succeeded run committed;
-* :class:`IncrementalJob` performs one run for real against a commit log.
+* :class:`IncrementalJob` performs one run for real against a commit log.  It
+  reads only its window of the source, and keeps the current row of every key.
 """
 
 from __future__ import annotations
@@ -21,11 +22,10 @@ import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sheafwork.session import fresh_name
+from sheafwork.session import fresh_name, materialise
 
 FILING_FIELDS = [
     "cik", "company", "filing_type", "filing_date", "complete_text_file_link", "html_index", "crawled_filing_date",
@@ -80,16 +80,27 @@ def changes_in_windows(rows: DataFrame, windows: DataFrame, key: str = "html_ind
     window function, so a key holding a third of all rows leaves at most as many
     rows as there are runs.
     """
-    keep = list(dict.fromkeys([key, *fields]))
-    wide = rows.select(
-        F.col(key).alias("_key"),
-        F.col(arrival).alias("_arrival"),
-        F.struct(F.col(version).alias("version"), F.col(arrival).alias("arrival"), F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(keep)]).alias("state")).alias("_row"),
-    )
+    wide = _wide(rows, key, fields, version, arrival)
     placed = _in_windows(wide, windows, "_arrival")
     latest = placed.groupBy("_key", "seq", "run_id").agg(F.max("_row").alias("_row"))
     order = Window.partitionBy("_key").orderBy("seq")
     state = latest.withColumn("_now", F.max("_row").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_before", F.lag("_now").over(order))
+    return _changed(state, key, fields, version, arrival)
+
+
+def _wide(rows: DataFrame, key: str, fields: Sequence[str], version: str, arrival: str) -> DataFrame:
+    """(_key, _arrival, _row); rows of one key are ordered by version, arrival, then field values."""
+    keep = dict.fromkeys([key, *fields])
+    return rows.select(
+        F.col(key).alias("_key"),
+        F.col(arrival).alias("_arrival"),
+        F.struct(F.col(version).alias("version"), F.col(arrival).alias("arrival"), F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(keep)]).alias("state")).alias("_row"),
+    )
+
+
+def _changed(state: DataFrame, key: str, fields: Sequence[str], version: str, arrival: str) -> DataFrame:
+    """Of rows with ``_before`` and ``_now`` those whose fields differ, under their names."""
+    keep = list(dict.fromkeys([key, *fields]))
     changed = state.filter(F.col("_before").isNull() | ~F.col("_before.state").eqNullSafe(F.col("_now.state")))
     return changed.select(
         "run_id",
@@ -154,42 +165,84 @@ class CommitLog:
         return [self._read(self._path(f"{self.root}/commits/{n:012d}.json"))["data"] for n in self.numbers()]
 
 
+#: folders the kept state is partitioned into by a hash of the key, so a run reads those of its keys only
+SLOTS = 64
+
+
 class IncrementalJob:
-    """One job's target folder: ``commits/`` and ``data/``.
+    """One job's target folder: ``commits/``, ``data/`` and ``state/``.
 
-    ``run`` may be called again after any failure.  Output of a run that died
-    before its commit stays unreferenced in ``data/`` and is never read.
+    ``run`` may be called again after any failure.  What a run that died before
+    its commit wrote stays unreferenced and is never read.
+
+    ``state/`` holds the current row of every key.  A run adds the rows it
+    changed; after ``compact_every`` such additions it rewrites the whole.
     """
 
-    def __init__(self, spark: SparkSession, root: str, **options):
-        self.spark, self.log, self.options = spark, CommitLog(spark, root), options
-        self.arrival = options.get("arrival", "received_at")
+    def __init__(self, spark: SparkSession, root: str, key: str = "html_index", fields: Sequence[str] = FILING_FIELDS, version: str = "modified_at", arrival: str = "received_at", compact_every: int = 16):
+        self.spark, self.log, self.compact_every = spark, CommitLog(spark, root), compact_every
+        self.key, self.names, self.arrival = key, (key, list(fields), version, arrival), arrival
 
     def run(self, rows: DataFrame, upper: datetime | None = None, transform: Callable[[DataFrame], DataFrame] | None = None) -> dict | None:
         """Process what arrived up to ``upper``, by default the latest arrival now present.
 
-        Returns the commit, or None if nothing is beyond the watermark.
+        The window is closed at both ends: a record that lands at the watermark's
+        own tick after that run is found by the next one, and those already
+        processed are known from the kept state and not repeated.  Returns the
+        commit, with the number of deliveries read, or None if nothing is new.
         """
         last = self.log.last()
-        if upper is None:
-            upper = rows.agg(F.max(self.arrival)).first()[0]
         low = datetime.fromisoformat(last["watermark"]) if last else None
-        if upper is None or (low is not None and upper <= low):
+        arrived, kind = F.col(self.arrival), dict(rows.dtypes)[self.arrival]
+        at = lambda t: F.lit(t.isoformat()).cast(kind) if kind == "timestamp_ntz" else F.lit(t)
+        since = rows.filter(arrived.isNotNull() if low is None else arrived >= at(low))
+        if upper is None:
+            upper = since.agg(F.max(self.arrival)).first()[0]
+        if upper is None or (low is not None and upper < low):
             return None
         number = last["number"] + 1 if last else 1
-        windows = [] if low is None else [(-1, 0, None, low)]
-        schema = T.StructType([T.StructField("run_id", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("lo", T.TimestampType()), T.StructField("hi", T.TimestampType())])
-        table = self.spark.createDataFrame([*windows, (number, 1, low, upper)], schema)
-        ntz = dict(rows.dtypes)[self.arrival] == "timestamp_ntz"
-        if ntz:
-            table = table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("lo", "hi")})
-        out = changes_in_windows(rows, table, **self.options).filter(F.col("run_id") == number)
-        data = f"{self.log.root}/data/{number:012d}-{uuid.uuid4().hex}"
+        read = Observation()
+        window = since.filter(arrived <= at(upper)).observe(read, F.count(F.lit(1)).alias("n"))
+        step = materialise(self._step(window, last, number), "step")
+        moved = step.filter(~F.col("_now").eqNullSafe(F.col("_before")))
+        if low is not None and upper == low and moved.limit(1).count() == 0:
+            return None
+        name = f"{number:012d}-{uuid.uuid4().hex}"
+        out = _changed(step, *self.names)
+        data = f"{self.log.root}/data/{name}"
         (transform(out) if transform else out).write.parquet(data)
-        entry = {"number": number, "watermark": upper.isoformat(), "data": data}
+        entry = {"number": number, "watermark": upper.isoformat(), "data": data, "state": self._keep(moved, last, name), "n_read": read.get["n"]}
         self.log.commit(number, entry)
         return entry
 
+    def _state(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.option("basePath", f"{self.log.root}/state").parquet(*folders)
+
+    def _step(self, window: DataFrame, last: dict | None, number: int) -> DataFrame:
+        """(run_id, _slot, _key, _before, _now) of the keys in the window; rows of a key collapse by a partial aggregate."""
+        key = F.col("_key")
+        newest = _wide(window, *self.names).groupBy("_key").agg(F.max("_row").alias("_new")).withColumn("_slot", F.pmod(F.xxhash64("_key"), F.lit(SLOTS)).cast("int"))
+        if last and last["state"]:
+            newest = materialise(newest, "window")
+            slots = [r[0] for r in newest.select("_slot").distinct().collect()]  # at most SLOTS
+            held = self._state(last["state"]).filter(F.col("_slot").isin(slots)).groupBy("_key").agg(F.max("_row").alias("_before"))
+            held = held.withColumnRenamed("_key", "_held")
+            newest = newest.join(held, key.eqNullSafe(F.col("_held")), "left").drop("_held")
+        else:
+            newest = newest.withColumn("_before", F.lit(None).cast(newest.schema["_new"].dataType))
+        return newest.select(F.lit(number).cast("bigint").alias("run_id"), "_slot", "_key", "_before", F.greatest("_before", "_new").alias("_now"))
+
+    def _keep(self, moved: DataFrame, last: dict | None, name: str) -> list[str]:
+        """Write the moved rows to the state; returns the folders that make it up."""
+        folders = last["state"] if last else []
+        path = f"{self.log.root}/state/_run={name}"
+        rows = moved.select("_slot", "_key", F.col("_now").alias("_row"))
+        if len(folders) + 1 >= self.compact_every:
+            every = self._state(folders).select("_slot", "_key", "_row").unionByName(rows)
+            rows, folders = every.groupBy("_slot", "_key").agg(F.max("_row").alias("_row")), []
+        rows.repartition("_slot").write.partitionBy("_slot").parquet(path)
+        return [*folders, path]
+
     def committed(self) -> DataFrame | None:
         """All committed output; None before the first commit."""
         paths = self.log.data_paths()

@@ -80,6 +80,12 @@ def p5_versions(spark, sf):
     )
 
 
-@DATA.query()
+@DATA.query(
+    _HISTORY_SQL
+    + """, d AS (SELECT *, c IS NOT NULL AND (pc IS NULL OR c <> pc) AS dc, i IS NOT NULL AND (pi IS NULL OR i <> pi) AS di, t IS NOT NULL AND (pt IS NULL OR t <> pt) AS dt FROM v WHERE snapshot_date <= '2022-06-30')
+SELECT cik, max(snapshot_date) FILTER (n = 1 OR dc OR di OR dt) AS known_since, (count(*) FILTER (n = 1 OR dc OR di OR dt))::int AS seq,
+  max_by(company, snapshot_date) FILTER (dc) AS company, max_by(sic, snapshot_date) FILTER (di) AS sic, max_by(st, snapshot_date) FILTER (dt) AS state_location
+FROM d GROUP BY cik"""
+)
 def p5_state_at(spark, sf):
     return state_at(build_log(table(spark, sf, "company_snapshots")), "2022-06-30")
