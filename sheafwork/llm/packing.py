@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafwork.session import materialise
+
 #: containers open at a time in a lane
 OPEN = 256
 #: items of a lane, about; a lane leaves at most ``OPEN`` containers unfilled
@@ -97,8 +99,9 @@ def pack(sizes: DataFrame, capacity: int, separator: int = 0, key: str = "doc_id
     Lanes come from a hash of the key; only keys and sizes are shuffled.
     """
     types = dict(sizes.dtypes)
-    items = sizes.select(F.col(key).alias("k"), F.col(size).cast("bigint").alias("s"))
-    lanes = max(1, -(-sizes.select(key).count() // lane_items))
+    # written once: the sizes are counted for the number of lanes and read again to be packed
+    items = materialise(sizes.select(F.col(key).alias("k"), F.col(size).cast("bigint").alias("s")), "sizes")
+    lanes = max(1, -(-items.count() // lane_items))
     laned = items.filter(F.col("s") > 0).withColumn("lane", F.pmod(F.xxhash64("k"), F.lit(lanes)).cast("int"))
     names = ["k", "part_no", "n_parts", "tokens", "lane", "container", "position"]
 

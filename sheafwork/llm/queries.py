@@ -173,25 +173,43 @@ def p8_utilisation(spark, sf):
     return utilisation(pack(_sizes(spark, sf), capacity, separator), capacity, separator)
 
 
-def _mixed(spark: SparkSession, sf: str, total: float | None = None) -> tuple[DataFrame, DataFrame]:
+def _mixed(spark: SparkSession, sf: str, total: float | str | None) -> tuple[DataFrame, DataFrame]:
     sizes = token_sizes(table(spark, sf, "documents"), ["doc_id", "source"])
     return mix(sizes, table(spark, sf, "mix_targets"), total=total)
 
 
 @LLM.query()
 def p9_selection(spark, sf):
-    return _mixed(spark, sf)[0]
+    """The greatest selection in which every source holds its target share."""
+    return _mixed(spark, sf, None)[0]
 
 
 @LLM.query()
 def p9_report(spark, sf):
-    return _mixed(spark, sf)[1]
+    return _mixed(spark, sf, None)[1]
 
 
 @LLM.query()
-def p9_clamped_report(spark, sf):
-    """A total no source mix can reach with every share held: small sources are clamped."""
-    return _mixed(spark, sf, total=float(table(spark, sf, "documents").agg(F.sum("n_chars")).first()[0]) / 5)[1]
+def p9_full_selection(spark, sf):
+    """As many tokens as all sources have together: small sources are clamped, and the others take over their excess."""
+    return _mixed(spark, sf, "available")[0]
+
+
+@LLM.query()
+def p9_full_report(spark, sf):
+    return _mixed(spark, sf, "available")[1]
+
+
+@LLM.query(
+    """
+WITH a AS (SELECT sum(target_share) AS every FROM mix_targets)
+SELECT lower(trim(source)) AS source, target_share, round(target_share / every, 2) AS actual_share, true AS within_repeats FROM mix_targets, a"""
+)
+def p9_exact_shares(spark, sf):
+    """The shares reached, which are the targets to a hundredth, and that no record is used too often."""
+    report = _mixed(spark, sf, None)[1].alias("r")
+    limits = table(spark, sf, "mix_targets").select(F.lower(F.trim("source")).alias("source"), "max_repeats")
+    return report.join(limits, "source").select("source", "target_share", F.round("actual_share", 2).alias("actual_share"), (F.col("most_copies") <= F.col("max_repeats")).alias("within_repeats"))
 
 
 def _levels(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,12 +19,18 @@ REMEMBERED = 1_000_000
 
 
 @lru_cache(maxsize=2)
-def encoding(path: str):
+def read_ranks(path: str) -> bytes:
+    """The vocabulary file; a missing one is an error, on the driver, so results do not depend on the disk of an executor."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
+@lru_cache(maxsize=2)
+def encoding(ranks: bytes):
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding("bytes", pat_str=PRE_SPLIT, mergeable_ranks=ranks, special_tokens={})
+    parsed = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("bytes", pat_str=PRE_SPLIT, mergeable_ranks=parsed, special_tokens={})
 
 
 class TokenCounter:
@@ -36,21 +42,21 @@ class TokenCounter:
     blanks merge among themselves; a text that has them is encoded as it is.
     """
 
-    def __init__(self, path: str = DEFAULT_RANKS):
-        self.path, self.sizes = path, {}
+    def __init__(self, ranks: bytes):
+        self.encode, self.sizes = encoding(ranks).encode_ordinary, {}
 
     def __call__(self, text: str) -> int:
         if "   " in text:
-            return len(encoding(self.path).encode_ordinary(text))
+            return len(self.encode(text))
         first, *rest = text.split(" ")
         sizes = self.sizes
         if len(sizes) > REMEMBERED:
             sizes.clear()
-        head = len(encoding(self.path).encode_ordinary(first)) if first else 0
+        head = len(self.encode(first)) if first else 0
         try:
             return head + sum(map(sizes.__getitem__, rest))
         except KeyError:
-            encode = encoding(self.path).encode_ordinary
+            encode = self.encode
             for piece in set(rest):
                 if piece not in sizes:
                     sizes[piece] = len(encode(" " + piece))
@@ -58,10 +64,14 @@ class TokenCounter:
 
 
 def token_sizes(rows: DataFrame, keys: list[str], text: str = "text", ranks: str = DEFAULT_RANKS, size: str = "n_tokens") -> DataFrame:
-    """``keys`` and the tokens of each row's text (0 for a null or empty text); the text is not carried on."""
+    """``keys`` and the tokens of each row's text (0 for a null or empty text); the text is not carried on.
+
+    The vocabulary file (under 1 MB) is read here and sent with the job.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(read_ranks(ranks))
 
     def count(batches):
-        counter = TokenCounter(ranks)
+        counter = TokenCounter(shared.value)
         for batch in batches:
             found = [counter(t) if t else 0 for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], names=[*batch.schema.names[:-1], size])

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from sheafwork.llm.mixing import mix, water_fill
@@ -50,3 +52,26 @@ def test_edges(spark):
     assert mix(empty, targets)[0].count() == 0 and mix(empty, targets)[1].count() == 1
     with pytest.raises(ValueError):
         mix(empty, spark.createDataFrame([("a", 1.0, 2), ("A ", 0.5, 2)], TARGETS))
+
+
+def test_shares_are_exact_and_clamps_redistribute(spark):
+    """Few large records: the one that crosses the cut is passed over and the rest filled."""
+    rng = random.Random(9)
+    rows = [(i, "a", rng.randint(500, 6000)) for i in range(60)] + [(1000 + i, "b", rng.randint(5, 900)) for i in range(400)] + [(5000 + i, "c", 40) for i in range(10)]
+    rows += rows[:2]  # repeated rows are records of their own
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens int")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.4, 3), ("c", 0.1, 4)], TARGETS)
+    for total in (None, 30_000.0, "available"):
+        for seed in (0, 1):
+            chosen, report = mix(df, targets, total=total, seed=seed)
+            by = {r.source: r for r in report.collect()}
+            copies = {r.doc_id: r.n_copies for r in chosen.collect()}
+            for r in by.values():
+                own = [(copies.get(k, 0), t) for k, s, t in rows if s == r.source]
+                least = min(own)[0]  # copies of the records the fractional repetition leaves out
+                assert 0 <= r.wanted_tokens - r.actual_tokens < min(t for n, t in own if n == least), r
+            assert by["c"].clamped and by["c"].most_copies == 4
+            if total is None:
+                assert all(abs(r.actual_share - r.target_share) < 0.015 for r in by.values())
+            else:
+                assert by["c"].actual_share < 0.1 and sum(r.wanted_tokens for r in by.values()) == pytest.approx(total if isinstance(total, float) else sum(t for _, _, t in rows))

@@ -3,13 +3,14 @@ import random
 import pytest
 
 from sheafwork.llm.packing import BestFit, pack, pack_lane, parts_of, utilisation
-from sheafwork.llm.tokens import TokenCounter, encoding, token_sizes
+from sheafwork.llm.tokens import DEFAULT_RANKS, TokenCounter, encoding, read_ranks, token_sizes
 
 
 def test_counter_equals_encoding():
-    count, rng = TokenCounter(), random.Random(1)
+    ranks, rng = read_ranks(DEFAULT_RANKS), random.Random(1)
+    count = TokenCounter(ranks)
     tokens = ["word", "Word's", " ", "  ", "   ", "\n", "\n\n", "\t", "12,345.6", "é", "Ж", "—", "'s", "½", " don't", "  x", "\xa0", "\u200b", "!?", "_", "日本"]
-    encode = encoding(count.path).encode_ordinary
+    encode = encoding(ranks).encode_ordinary
     for _ in range(4000):
         text = "".join(rng.choice(tokens) for _ in range(rng.randint(0, 20)))
         assert count(text) == len(encode(text)), repr(text)
@@ -19,6 +20,8 @@ def test_sizes(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None), (3, "")], "doc_id bigint, text string")
     assert sorted((r.doc_id, r.n_tokens) for r in token_sizes(df, ["doc_id"]).collect()) == [(1, 2), (1, 2), (2, 0), (3, 0)]
     assert token_sizes(spark.createDataFrame([], df.schema), ["doc_id"]).count() == 0
+    with pytest.raises(OSError):
+        token_sizes(df, ["doc_id"], ranks="/none.tiktoken")
 
 
 def test_best_fit_picks_the_tightest_and_closes_the_fullest():
