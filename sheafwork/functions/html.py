@@ -177,8 +177,9 @@ def _coloured(node: Node) -> bool:
         (name.strip().lower(), value.replace("!important", "").strip().lower())
         for name, _, value in (part.partition(":") for part in node.attrs.get("style", "").split(";"))
     )
-    values = [style.get("background"), style.get("background-color"), node.attrs.get("bgcolor", "").lower() or None]
-    return any(v and v not in PLAIN_BACKGROUNDS for v in values)
+    if node.attrs.get("bgcolor", "none").lower() not in PLAIN_BACKGROUNDS:
+        return True  # also an empty one
+    return any(v and v not in PLAIN_BACKGROUNDS for v in (style.get("background"), style.get("background-color")))
 
 
 def drop_numeric_tables(root: Node, item_header: re.Pattern) -> None:
@@ -196,12 +197,20 @@ def drop_numeric_tables(root: Node, item_header: re.Pattern) -> None:
 
 
 def resolve_spans(root: Node) -> None:
-    """Spans with text dissolve into their content, every other becomes a blank."""
-    for span in root.find_all("span"):
-        if span.text().strip():
-            span.replace_with(*span.children)
-    for span in root.find_all("span"):
-        span.replace_with(" ")
+    """Spans with text dissolve into their content, every other becomes a blank; each node's children are rebuilt once."""
+    for node in [*reversed(list(root.walk())), root]:  # inner spans first
+        if not any(isinstance(c, Node) and c.tag == "span" for c in node.children):
+            continue
+        merged: list[Node | str] = []
+        for c in node.children:
+            if isinstance(c, Node) and c.tag == "span":
+                merged += c.children if c.text().strip() else [" "]
+            else:
+                merged.append(c)
+        for c in merged:
+            if isinstance(c, Node):
+                c.parent = node
+        node.children = merged
 
 
 # ---- pages of the filing archive -------------------------------------------------------------------------------

@@ -86,12 +86,18 @@ def item_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "form string, era string, ord int, item string, part string, output_key string, header string")
 
 
+def item_table(lists: DataFrame) -> DataFrame:
+    """The item table from rows of form_name, era_name, part_name, item_pos, item_id; headers are those of :func:`header_core`."""
+    item = F.when(F.col("part_name").isNull(), F.col("item_id")).otherwise(F.concat("part_name", F.lit("__"), "item_id"))
+    return lists.select(F.col("form_name").alias("form"), F.coalesce("era_name", F.lit("all")).alias("era"), (F.col("item_pos") - 1).cast("int").alias("ord"), item.alias("item"), F.col("part_name").alias("part"))
+
+
 def era_column(form: Column, date: Column) -> Column:
     """The era of a filing as an expression."""
     return F.when(form != "8-K", "all").when(F.to_date(date) > F.lit(NEW_8K_AFTER).cast("date"), "new").otherwise("old")
 
 
 def with_items(filings: DataFrame, form: str = "filing_type", date: str = "filing_date", dim: DataFrame | None = None) -> DataFrame:
-    """Each filing with every item of its form and era: a join with the fixed item table."""
-    items = (dim if dim is not None else item_dim(filings.sparkSession)).withColumnsRenamed({"form": "_form", "era": "_era"})
-    return filings.join(F.broadcast(items), (F.col(form) == F.col("_form")) & (era_column(F.col(form), F.col(date)) == F.col("_era"))).drop("_form", "_era")
+    """Each filing with every item of its form and era: a join with the item table, broadcast if it is our fixed one."""
+    items = (dim if dim is not None else F.broadcast(item_dim(filings.sparkSession))).withColumnsRenamed({"form": "_form", "era": "_era"})
+    return filings.join(items, (F.col(form) == F.col("_form")) & (era_column(F.col(form), F.col(date)) == F.col("_era"))).drop("_form", "_era")

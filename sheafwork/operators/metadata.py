@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ARCHIVE = "https://www.sec.gov/Archives/"
+# Fixed value: the notice to a throttled client.
+THROTTLED = "will be managed until action is taken to declare your traffic."
 
 
 def with_links(index: DataFrame, archive: str = ARCHIVE, columns: Sequence[str] = ("complete_text_file_link", "html_index")) -> DataFrame:
@@ -111,7 +113,7 @@ def upsert(held: DataFrame, new: DataFrame) -> DataFrame:
 
 def throttled(body: Column) -> Column:
     """Whether a fetched page is the notice of a throttled client."""
-    return F.contains(body, F.lit("will be managed until action is taken to declare your traffic."))
+    return F.contains(body, F.lit(THROTTLED))
 
 
 def periods(start_year: int, end_year: int, quarters: Sequence[int], today: str) -> list[tuple[int, int]]:

@@ -29,6 +29,7 @@ _AFTER_LISTED = r"[.*~\-:\s(]"
 _AFTER_START = r"[.*~\-:\s()]"
 _AFTER_TAIL = r"[.\-:\s]"
 
+# The thresholds of the repairs of quarterly reports.
 #: a part this much longer than the one before it was cut wrongly
 PART_EXCESS = 5000
 #: a gap of more characters between two parts belongs to the first

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafwork.files import contents
 from sheafwork.functions import html as H
 from sheafwork.functions.text import clean_text_py
 from sheafwork.operators.items import UnknownForm, header_core, items_for, requested_items
@@ -34,6 +35,7 @@ class Options:
     include_signature: bool = False
 
 
+# The tags of a submission, of tables in plain text, and of spans with margins.
 _PDF = re.compile(r"<PDF>.*?</PDF>", re.I | re.S)
 _DOCUMENT = re.compile(r"<DOCUMENT>.*?</DOCUMENT>", re.I | re.S)
 _TYPE = re.compile(r"\n[^\S\r\n]*<TYPE>(.*?)\n", re.I | re.S)
@@ -120,6 +122,15 @@ def with_raw(metadata: DataFrame, raw: DataFrame) -> DataFrame:
     return metadata.join(files, (F.col("filing_type") == F.col("_t")) & (F.col("filename") == F.col("_f")), "left").drop("_t", "_f")
 
 
+def with_contents(metadata: DataFrame, folder: str) -> DataFrame:
+    """Metadata with the raw content at ``folder/{type}/{filename}``; null where there is no file.
+
+    The path is made from the row and the file read by the task that extracts it,
+    so contents are never shuffled.
+    """
+    return metadata.withColumn("content", contents(F.concat(F.lit(f"{folder}/"), "filing_type", F.lit("/"), "filename")))
+
+
 def long_items(extracted: DataFrame, keep: Sequence[str] = ("filename",)) -> DataFrame:
     """One row per filing and key: kept columns, ord, key, value."""
     return extracted.select(*keep, F.posexplode("items").alias("ord", "item")).select(*keep, "ord", F.col("item.key").alias("key"), F.col("item.value").alias("value"))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from sheafwork.functions import html as H
 from sheafwork.functions import text as X
 from sheafwork.operators import metadata as M
-from sheafwork.operators.items import ITEMS_8K, ITEMS_8K_OLD, ITEMS_10K, item_dim, output_key, with_items
+from sheafwork.operators.items import ITEMS_8K, ITEMS_8K_OLD, ITEMS_10K, item_table, output_key, with_items
 from sheafwork.plans.extract import Options, extract, json_column, long_items, not_yet_extracted, plain_text, status_counts
 from sheafwork.plans.registry import Registry, table
 from sheafwork.session import spread
@@ -120,13 +120,11 @@ def quarter_counts(spark, sf):
 
 @FILINGS.query("SELECT html_index, filing_date FROM filing_index WHERE filing_type IN ('10-K', '10-Q') AND year(filing_date::date) BETWEEN 2008 AND 2012 AND quarter(filing_date::date) IN (1, 3)")
 def quarter_prune_union(spark, sf):
-    """The bag union of the chosen quarters, each pruned and filtered by type before the union."""
-    rows, date = table(spark, sf, "filing_index"), F.to_date("filing_date")
-    chosen = None
-    for year, quarter in M.periods(2008, 2012, (1, 3), "2024-01-01"):
-        part = M.of_types(rows.filter((F.year(date) == year) & (F.quarter(date) == quarter)), ["10-K", "10-Q"])
-        chosen = part if chosen is None else chosen.union(part)
-    return chosen.select("html_index", "filing_date")
+    """The bag union of the chosen quarters in one scan, pruned and filtered by type."""
+    date = F.to_date("filing_date")
+    wanted = [y * 10 + q for y, q in M.periods(2008, 2012, (1, 3), "2024-01-01")]
+    rows = M.of_types(table(spark, sf, "filing_index"), ["10-K", "10-Q"]).filter((F.year(date) * 10 + F.quarter(date)).isin(wanted))
+    return rows.select("html_index", "filing_date")
 
 
 @FILINGS.query("SELECT html_index, 'no period of report' AS reason FROM filing_index WHERE period_of_report IS NULL")
@@ -162,7 +160,7 @@ _ERA = "CASE WHEN form_name <> '8-K' THEN true WHEN era_name = 'new' THEN filing
 FROM filing_index i JOIN item_lists l ON i.filing_type = l.form_name AND {_ERA}"""
 )
 def item_list_by_era(spark, sf):
-    return with_items(table(spark, sf, "filing_index")).select("html_index", "modified_at", "ord", "item")
+    return with_items(table(spark, sf, "filing_index"), dim=item_table(table(spark, sf, "item_lists"))).select("html_index", "modified_at", "ord", "item")
 
 
 @FILINGS.query(
@@ -171,7 +169,7 @@ WHERE part_name IS NULL AND item_id IN ('1A', '7', '5.02', '9.01', '12')"""
 )
 def requested_items_intersect(spark, sf):
     wanted = F.array(*[F.lit(i) for i in ("1A", "7", "5.02", "9.01", "12")])
-    per = with_items(table(spark, sf, "filing_index")).groupBy("html_index", "modified_at", "received_at", "cik", "filename").agg(F.array_sort(F.collect_list("item")).alias("known"), F.count("*").alias("n"))
+    per = with_items(table(spark, sf, "filing_index"), dim=item_table(table(spark, sf, "item_lists"))).groupBy("html_index", "modified_at", "received_at", "cik", "filename").agg(F.array_sort(F.collect_list("item")).alias("known"), F.count("*").alias("n"))
     # repeated deliveries repeat the list; the intersection is the same
     copies = F.aggregate("known", F.lit(0), lambda a, x: a + F.when(x == "SIGNATURE", 1).otherwise(0))
     chosen = per.select("html_index", "modified_at", F.explode(F.sequence(F.lit(1), copies)).alias("copy"), F.array_intersect(wanted, "known").alias("items"))
@@ -183,8 +181,7 @@ def requested_items_intersect(spark, sf):
   part_name IS DISTINCT FROM lag(part_name) OVER (PARTITION BY form_name, era_name ORDER BY item_pos) AS part_changed FROM item_lists"""
 )
 def item_order_windows(spark, sf):
-    del sf
-    return item_dim(spark).selectExpr(
+    return item_table(table(spark, sf, "item_lists")).selectExpr(
         "form", "ord", "size(collect_list(item) OVER (PARTITION BY form, era ORDER BY ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))::bigint AS n_next",
         "NOT (part <=> lag(part) OVER (PARTITION BY form, era ORDER BY ord)) AS part_changed",
     )
@@ -326,9 +323,15 @@ def _compose(pieces: dict[str, str], titles: str = "Item {0}. ", front: str = "'
     return f"concat({front}, {body}" + (f", chr(10), 'SIGNATURES', chr(10), {_piece('signature')})" if signed else ")")
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """Rows without repeats: per filename and a hash of the row, so wide texts are not compared."""
+    made = rows.withColumns({"_a": F.xxhash64(*rows.columns), "_b": F.xxhash64(F.lit(1), *rows.columns)})
+    return made.dropDuplicates(["filename", "_a", "_b"]).drop("_a", "_b")
+
+
 def _filings(spark: SparkSession, sf: str, raw: str, form: str, date: str = "filing_date") -> DataFrame:
     columns = ["filename", "filing_date", *_ITEM_COLUMNS]
-    rows = spread(table(spark, sf, "extracted_filings").select(*columns), "filename").distinct()
+    rows = _once(spread(table(spark, sf, "extracted_filings").select(*columns), "filename"))
     return rows.selectExpr("filename", f"'{form}' AS filing_type", f"{date} AS filing_date", f"{raw} AS content")
 
 
@@ -442,13 +445,13 @@ def html_table_removal(spark, sf):
         f"concat('<p>a</p><table><tr {colour}><td>gone', {_ESCAPED.format(_piece('item_6'))}, '</td></tr></table><table><tr style=\"background:white\"><td>k</td><td>2</td></tr></table>', "
         f"'<table><tr><td></td></tr><tr {colour}><td>Item 1. in a table</td></tr></table>', {_ESCAPED.format(_piece('item_2'))}, '<span> </span>b')"
     )
-    return spread(table(spark, sf, "extracted_filings").selectExpr("filename", f"{html} AS page"), "filename").distinct().select("filename", _plain_10k("page").alias("plain"))
+    return _once(spread(table(spark, sf, "extracted_filings").selectExpr("filename", f"{html} AS page"), "filename")).select("filename", _plain_10k("page").alias("plain"))
 
 
 def _mixed(spark: SparkSession, sf: str) -> DataFrame:
     """Every filing under its own form; amendments and old annual forms have no item list."""
     raw = f"CASE WHEN item_3 IS NULL THEN 'nothing to find here' ELSE {_compose(_TENK)} END"
-    return spread(table(spark, sf, "extracted_filings"), "filename").distinct().selectExpr("*", f"{raw} AS content")
+    return _once(spread(table(spark, sf, "extracted_filings"), "filename")).selectExpr("*", f"{raw} AS content")
 
 
 @FILINGS.query(

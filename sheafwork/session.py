@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -31,14 +32,17 @@ def build_session(app: str = "sheafwork", cores: str | int = "*", shuffle_partit
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset,
-    as in tests on one machine, a temporary folder is made and set.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
+    and all tasks run in this process, as in tests, a temporary folder is made and
+    set; on a cluster a folder of one machine would be wrong, so that is an error.
     """
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not known:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         known = current.get() if current.isDefined() else None
     if not known:
+        if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="sheafwork-")
         spark.sparkContext.setCheckpointDir(known)
     return known.rstrip("/")
@@ -53,11 +57,11 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 
 @atexit.register
-def _clean() -> None:
-    for spark, path in _SCRATCH:
+def drop_scratch() -> None:
+    """Drop all intermediate tables written so far; a long session calls it between jobs whose results it has taken."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
         if path.startswith("file:"):
-            import shutil
-
             shutil.rmtree(path[len("file://") :], ignore_errors=True)
         else:
             _drop(spark, path)

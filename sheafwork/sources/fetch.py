@@ -10,9 +10,10 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 
-# Replies worth another try, and the notice to a throttled client.
+from sheafwork.operators.metadata import THROTTLED
+
+# Replies worth another try.
 RETRY_STATUS = (400, 401, 403, 500, 502, 503, 504, 505)
-THROTTLED = b"will be managed until action is taken to declare your traffic."
 
 Fetcher = Callable[[str], bytes]
 
@@ -21,20 +22,16 @@ class FetchError(Exception):
     """All tries failed."""
 
 
-def http_fetcher(user_agent: str, tries: int = 5, transport_tries: int = 5, backoff: float = 0.2, timeout: float = 60.0) -> Fetcher:
-    """GET with retries for network errors and for throttle notices."""
+def with_retries(get: Fetcher, tries: int = 5, transport_tries: int = 5, backoff: float = 0.2) -> Fetcher:
+    """``get`` tried again for network errors, for the replies in ``RETRY_STATUS`` and for throttle notices."""
 
     def once(url: str) -> bytes:
         for attempt in range(transport_tries):
             try:
-                request = urllib.request.Request(url, headers={"User-agent": user_agent})
-                with urllib.request.urlopen(request, timeout=timeout) as reply:
-                    return reply.read()
-            except urllib.error.HTTPError as error:
-                if error.code not in RETRY_STATUS or attempt == transport_tries - 1:
-                    raise FetchError(f"{url}: {error}") from error
+                return get(url)
             except OSError as error:
-                if attempt == transport_tries - 1:
+                final = isinstance(error, urllib.error.HTTPError) and error.code not in RETRY_STATUS
+                if final or attempt == transport_tries - 1:
                     raise FetchError(f"{url}: {error}") from error
             time.sleep(backoff * 2**attempt)
         raise FetchError(url)
@@ -42,13 +39,24 @@ def http_fetcher(user_agent: str, tries: int = 5, transport_tries: int = 5, back
     def fetch(url: str) -> bytes:
         for _ in range(tries):
             body = once(url)
-            if THROTTLED not in body:
+            if THROTTLED.encode() not in body:
                 return body
         raise FetchError(f"{url}: throttled")
 
     return fetch
 
 
+def http_fetcher(user_agent: str, timeout: float = 60.0, **retries) -> Fetcher:
+    """GET over the network; ``retries`` are those of :func:`with_retries`."""
+
+    def get(url: str) -> bytes:
+        request = urllib.request.Request(url, headers={"User-agent": user_agent})
+        with urllib.request.urlopen(request, timeout=timeout) as reply:
+            return reply.read()
+
+    return with_retries(get, **retries)
+
+
 def fetch_all(urls: DataFrame, fetcher: Fetcher, column: str = "url", keep: Sequence[str] = ()) -> DataFrame:
     """(kept columns, url, body, error) for every row; a failed page has a null body and the reason.
 

@@ -28,20 +28,71 @@ def test_master_index(spark, tmp_path):
 
 
 def test_index_round_trip(spark, tmp_path):
-    path = str(tmp_path / "2020_QTR1.tsv")
-    rows = spark.createDataFrame([("1", "NA", "10-K", "2020-01-01", "a.txt", "a-index.html")], schemas.INDEX).collect()
-    sinks.write_index_file(rows, path)
-    assert files.index_paths(str(tmp_path), [(2020, 1), (2020, 2)]) == [path]
+    rows = spark.createDataFrame([("1", "NA", "10-K", "2020-01-01", "a.txt", "a-index.html", 2020, 1), ("2", None, "10-K", None, "b.txt", "b-index.html", None, None)], "cik string, company string, filing_type string, filing_date string, complete_text_file_link string, html_index string, year int, quarter int")
+    sinks.write_index_files(rows, str(tmp_path))
+    path = f"{tmp_path}/2020_QTR1.tsv"
+    assert files.index_paths(spark, str(tmp_path), [(2020, 1), (2020, 2)]) == [(2020, 1, path)]
+    assert files.index_paths(spark, str(tmp_path), [(2020, 1), (2020, 2)], present=False) == [(2020, 2, f"{tmp_path}/2020_QTR2.tsv")]
     row = files.read_index(spark, [path]).first()
     assert row.cik == "1" and row.company is None and row.filename is None and len(row) == 14
 
 
-def test_metadata_upsert_in_place(spark, tmp_path):
-    path = f"file://{tmp_path}/META.csv"
+def test_metadata_table_commits_and_survives_an_interruption(spark, tmp_path, monkeypatch):
+    table = sinks.MetadataTable(spark, f"file://{tmp_path}/META.csv")
     make = lambda key: spark.createDataFrame([tuple("x" if c != "html_index" else key for c in schemas.METADATA.names)], schemas.METADATA)
-    sinks.write_metadata(make("a"), path)
-    sinks.write_metadata(M.upsert(files.read_metadata(spark, path), make('b, "q"')), path)
-    assert sorted(r.html_index for r in files.read_metadata(spark, path).collect()) == ["a", 'b, "q"']
+    keys = lambda: sorted(r.html_index for r in table.read().collect())
+    assert keys() == []
+    table.append(make("a"))
+    table.append(make('b, "q"'))
+    assert keys() == ["a", 'b, "q"']
+    monkeypatch.setattr(table.commits, "commit", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        table.append(make("c"))
+    monkeypatch.undo()
+    assert keys() == ["a", 'b, "q"']
+    table.replace(M.upsert(table.read().filter("html_index = 'a'"), make("d")))
+    assert keys() == ["a", "d"]
+
+
+def test_files_are_replaced_whole(tmp_path):
+    from sheafwork.files import read_file, replace_file
+
+    path = f"file://{tmp_path}/x/y/a.bin"
+    assert read_file(path) is None
+    replace_file(path, b"1")
+    replace_file(path, b"22")
+    assert read_file(path) == b"22" == read_file(f"{tmp_path}/x/y/a.bin") and [p.name for p in (tmp_path / "x/y").iterdir()] == ["a.bin"]
+
+
+def test_contents_by_path(spark, tmp_path):
+    folder = raw_folder(tmp_path)
+    rows = E.with_contents(metadata(spark), folder)
+    assert {r.filename: r.content is None for r in rows.collect()}["4_missing.txt"] is True
+    status = {r.filename: r.status for r in E.extract(rows).collect()}
+    assert status["1_10K_2020_a.txt"] == "extracted" and status["4_missing.txt"] == "no raw file"
+
+
+def test_logger(tmp_path, capsys):
+    from sheafwork.log import get_logger
+
+    log = get_logger("sheafwork.test", str(tmp_path / "a.log"))
+    assert get_logger("sheafwork.test", str(tmp_path / "a.log")) is log and len(log.handlers) == 2
+    log.debug("quiet")
+    log.info("loud")
+    assert "quiet" in (tmp_path / "a.log").read_text() and "loud" in (tmp_path / "a.log").read_text()
+    shown = capsys.readouterr().err
+    assert "loud" in shown and "quiet" not in shown
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from sheafwork import session
+
+    unset = SimpleNamespace(isDefined=lambda: False)
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: SimpleNamespace(get=lambda k: None), _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset)))
+    with pytest.raises(RuntimeError):
+        session.scratch_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=context))
 
 
 def test_lists_and_companies(spark, tmp_path):
