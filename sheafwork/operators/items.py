@@ -88,8 +88,9 @@ def item_dim(spark: SparkSession) -> DataFrame:
 
 def item_table(lists: DataFrame) -> DataFrame:
     """The item table from rows of form_name, era_name, part_name, item_pos, item_id; headers are those of :func:`header_core`."""
+    era = F.when(F.col("form_name") != "8-K", "all").when(F.col("era_name") == "new", "new").otherwise("old")
     item = F.when(F.col("part_name").isNull(), F.col("item_id")).otherwise(F.concat("part_name", F.lit("__"), "item_id"))
-    return lists.select(F.col("form_name").alias("form"), F.coalesce("era_name", F.lit("all")).alias("era"), (F.col("item_pos") - 1).cast("int").alias("ord"), item.alias("item"), F.col("part_name").alias("part"))
+    return lists.select(F.col("form_name").alias("form"), era.alias("era"), (F.col("item_pos") - 1).cast("int").alias("ord"), item.alias("item"), F.col("part_name").alias("part"))
 
 
 def era_column(form: Column, date: Column) -> Column:
