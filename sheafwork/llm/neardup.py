@@ -42,6 +42,8 @@ from sheafwork.llm.common import scan_arrow
 from sheafwork.session import broadcast_if_small, materialise
 
 _WORDS = re.compile(r"[^\W_]+")
+#: cells in which a batch's runs are counted to find those that may be frequent
+LOW_BITS = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
 
@@ -170,17 +172,21 @@ def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: in
         runs = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         table = pa.table({"key": [d[0] for d in docs], "field": [d[1] for d in docs], "n": pa.array([len(s) for s in sets], pa.int32()), "sig": [_signature(s) for s in sets]})
-        order = np.argsort(runs, kind="stable")
-        starts = np.flatnonzero(np.r_[True, runs[order[1:]] != runs[order[:-1]]])
-        counts = np.diff(np.r_[starts, len(runs)])
-        many = np.repeat(counts >= limits.heavy, counts)
-        shared, times = runs[order[starts[counts >= limits.heavy]]], counts[counts >= limits.heavy].astype(np.uint32)
+        # only runs whose low bits are frequent can be, so few are compared
+        low = (runs & np.uint64(LOW_BITS - 1)).astype(np.int64)
+        maybe = np.flatnonzero(np.bincount(low, minlength=LOW_BITS)[low] >= limits.heavy)
+        found, at, times = np.unique(runs[maybe], return_inverse=True, return_counts=True)
+        many = np.flatnonzero(times[at] >= limits.heavy)
+        many = many[np.argsort(at[many], kind="stable")]
+        shared, times = found[times >= limits.heavy], times[times >= limits.heavy].astype(np.uint32)
         # a run's owners stay with the texts; bucket -1 - x keeps this row apart from runs
-        held = np.uint32(len(shared)).tobytes() + _short(shared, buckets).tobytes() + times.tobytes() + owner[order[many]].astype(np.uint16).tobytes()
+        held = np.uint32(len(shared)).tobytes() + _short(shared, buckets).tobytes() + times.tobytes() + owner[maybe[many]].astype(np.uint16).tobytes()
         rows = [(TEXTS, -1 - xxhash.xxh32_intdigest(name) % buckets, name, _ipc(table), held)]
-        light = np.sort(order[~many])
-        rest = (runs[light] // np.uint64(buckets)).astype(np.uint32)
-        rows += [(RUNS, b, name, rest[at].tobytes(), _small(per)) for b, at, per in _by_bucket(runs[light], owner[light], len(sets), buckets)]
+        light = np.ones(len(runs), bool)
+        light[maybe[many]] = False
+        runs, owner = runs[light], owner[light]
+        rest = (runs // np.uint64(buckets)).astype(np.uint32)
+        rows += [(RUNS, b, name, rest[at].tobytes(), _small(per)) for b, at, per in _by_bucket(runs, owner, len(sets), buckets)]
         rest = (shared // np.uint64(buckets)).astype(np.uint32)
         rows += [(COUNTED, b, name, rest[at].tobytes(), times[at].tobytes()) for b, at, _ in _by_bucket(shared, np.zeros(len(shared), np.int64), 1, buckets)]
         return _packed(rows)
@@ -212,16 +218,19 @@ def _count(table: pa.Table) -> pa.Table:
         return table
     kinds, names, blobs = (table.column(c).to_pylist() for c in ("kind", "batch", "b"))
     runs = [np.frombuffer(x, np.uint32) for x in table.column("a").to_pylist()]
-    times = [np.frombuffer(b, np.uint32) if k == COUNTED else np.ones(len(r), np.uint32) for k, r, b in zip(kinds, runs, blobs)]
     every = np.concatenate(runs)
     order = np.argsort(every, kind="stable")
     ordered = every[order]
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    counts = np.add.reduceat(np.concatenate(times)[order].astype(np.int64), starts)
+    counts = np.diff(np.r_[starts, len(ordered)])
+    grown, kept = counts.copy(), ordered[starts]
+    for kind, r, blob in zip(kinds, runs, blobs):
+        if kind == COUNTED:  # counts as often as it occurs in its batch
+            np.add.at(grown, np.searchsorted(kept, r), np.frombuffer(blob, np.uint32).astype(np.int64) - 1)
     # small counts stay exact, large ones are told apart by eighths of a power of two
-    level = np.where(counts < 32, counts, np.minimum(255, 32 + np.floor(8 * np.log2(np.maximum(counts, 32) / 32)))).astype(np.uint8)
+    level = np.where(grown < 32, grown, np.minimum(255, 32 + np.floor(8 * np.log2(np.maximum(grown, 32) / 32)))).astype(np.uint8)
     grade = np.empty(len(every), dtype=np.uint8)
-    grade[order] = np.repeat(level, np.diff(np.r_[starts, len(ordered)]))
+    grade[order] = np.repeat(level, counts)
     out, at = [], 0
     for kind, name, r, blob in zip(kinds, names, runs, blobs):
         g = grade[at : at + len(r)]
