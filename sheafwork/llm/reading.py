@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork.llm.common import scan_arrow
-from sheafwork.llm.textstats import COMMON, NOT_PROSE, STUB_CHARS, facts_of_tokens, line_kind
+from sheafwork.llm.textstats import COMMON, NOT_PROSE, STUB_CHARS, line_kind, pack_facts, summed_facts, token_facts
 from sheafwork.session import broadcast_if_small, materialise
 
 #: share of a document's running words its vocabulary must cover
@@ -65,6 +65,12 @@ def token_reading(token: str) -> tuple[int, int, int, bool]:
     return len(words), sum(n >= 3 for n in lengths), sum(n >= 5 for n in lengths), stop
 
 
+@lru_cache(maxsize=4)
+def packed_reading(common: frozenset[str]):
+    """The function of a token's packed facts: those of a line's kind, then long words, longest words, sentence ends."""
+    return lru_cache(maxsize=200_000)(lambda token: pack_facts((*token_facts(token, common), *token_reading(token)[1:])))
+
+
 def word_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n) over all documents; tasks count first, so only their totals are shuffled."""
 
@@ -112,7 +118,7 @@ class Reader:
     """Features of one text's running prose, headings aside."""
 
     def __init__(self, head: dict[str, int], covered: float, common: Iterable[str] = COMMON):
-        self.head, self.covered, self.facts = head, covered, facts_of_tokens(frozenset(common))
+        self.head, self.covered, self.packed = head, covered, packed_reading(frozenset(common))
 
     def __call__(self, text: str) -> tuple:
         body_chars = prose_chars = words = long_words = longest_words = sentences = common = 0
@@ -125,20 +131,22 @@ class Reader:
             body = line.strip()
             if _HEADING.match(body):
                 continue
-            facts = list(map(sum, zip(*map(self.facts, tokens))))
+            facts = summed_facts(tokens, self.packed, 14)
             body_chars += len(body)
-            if line_kind(body, tokens, facts) != "prose":
+            if line_kind(body, tokens, facts[:11]) != "prose":
                 continue
             prose_chars += len(body)
-            common += facts[2]
             running += tokens
-            w, p, q, e = zip(*map(token_reading, tokens))
-            words += sum(w)
-            long_words += sum(p)
-            longest_words += sum(q)
-            ends = sum(e)
-            sentences += ends
-            open_words = sum(w) + open_words if not ends else sum(w[len(e) - e[::-1].index(True) :])
+            words += facts[0]
+            common += facts[2]
+            long_words += facts[11]
+            longest_words += facts[12]
+            if facts[13]:
+                sentences += facts[13]
+                last = next(i for i in range(len(tokens), 0, -1) if token_reading(tokens[i - 1])[3])
+                open_words = sum(token_reading(t)[0] for t in tokens[last:])
+            else:
+                open_words += facts[0]
         sentences += open_words > 0
         rank, need, rare = None, 0, Counter()
         if words:

@@ -13,6 +13,7 @@ outcomes are derived from the root, and the rules decide the kind of the text.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -53,27 +54,38 @@ _SENTENCE_END = re.compile(r"[.!?:;][\"'”’)\]]*$")
 _HEADING = re.compile(r"^(?:item|part|note|exhibit)\s+\w{1,5}[.:]?(?=\s|$)", re.I)
 
 
-Facts = Callable[[str], tuple[int, ...]]
+#: of a token: its facts as one number, in fields of 32 bits, so that those of a line add up in one sum
+Packed = Callable[[str], int]
 
 
-@lru_cache(maxsize=4)
-def facts_of_tokens(common: frozenset[str] = COMMON) -> Facts:
-    """The function of a blank-free token's facts, which add up over a line; it remembers tokens.
+def pack_facts(facts: Iterable[int]) -> int:
+    values = tuple(facts)
+    return int.from_bytes(struct.pack(f"<{len(values)}I", *values), "little")
+
+
+def summed_facts(tokens: Iterable[str], packed: Packed, fields: int = 11) -> tuple[int, ...]:
+    """The facts of a line: no field exceeds the characters of a string, which 32 bits hold."""
+    return struct.unpack(f"<{fields}I", sum(map(packed, tokens)).to_bytes(4 * fields, "little"))
+
+
+def token_facts(token: str, common: frozenset[str] = COMMON) -> tuple[int, ...]:
+    """Facts of one blank-free token that add up over a line.
 
     Words, their letters, common words, letters, digits, capitals, length,
     numbers, words without a vowel, code signs, traces of a wrong decoding.
     """
+    words = _WORD.findall(token)
+    return (
+        len(words), sum(map(len, words)), sum(w.lower() in common for w in words),
+        sum(map(str.isalpha, token)), sum(map(str.isdigit, token)), sum(map(str.isupper, token)), len(token),
+        _NUMBER.match(token) is not None, sum(not _VOWEL.search(w) for w in words), len(_CODE.findall(token)), len(_MOJIBAKE.findall(token)),
+    )
 
-    @lru_cache(maxsize=200_000)
-    def token_facts(token: str) -> tuple[int, ...]:
-        words = _WORD.findall(token)
-        return (
-            len(words), sum(map(len, words)), sum(w.lower() in common for w in words),
-            sum(map(str.isalpha, token)), sum(map(str.isdigit, token)), sum(map(str.isupper, token)), len(token),
-            _NUMBER.match(token) is not None, sum(not _VOWEL.search(w) for w in words), len(_CODE.findall(token)), len(_MOJIBAKE.findall(token)),
-        )
 
-    return token_facts
+@lru_cache(maxsize=4)
+def packed_facts(common: frozenset[str] = COMMON) -> Packed:
+    """The function of a token's packed facts; it remembers tokens."""
+    return lru_cache(maxsize=200_000)(lambda token: pack_facts(token_facts(token, common)))
 
 
 #: words of a line are compared with each other within windows of this many
@@ -86,7 +98,7 @@ def _repeats(tokens: list[str]) -> bool:
     return 3 * different <= len(tokens)
 
 
-def line_kind(body: str, tokens: list[str], facts: list[int]) -> str:
+def line_kind(body: str, tokens: list[str], facts: tuple[int, ...]) -> str:
     """What a stripped non-blank line is: prose, table, list or junk.  Independent of letter case."""
     words, _, _, letters, _, _, solid, numeric, voiceless, code, wrong = facts
     n = len(tokens)
@@ -136,7 +148,7 @@ class Statistician:
     """Partial counts of chunks, their merging, and the counts of whole documents."""
 
     def __init__(self, common: Iterable[str] = COMMON):
-        self.facts = facts_of_tokens(frozenset(common))
+        self.packed = packed_facts(frozenset(common))
 
     def count_line(self, line: str, counts: list[int]) -> None:
         """Add one whole line, without its line feed, to ``counts``."""
@@ -144,7 +156,7 @@ class Statistician:
         tokens = line.split()
         if not tokens:
             return
-        facts = list(map(sum, zip(*map(self.facts, tokens))))
+        facts = summed_facts(tokens, self.packed)
         words, word_chars, common, letters, digits, capitals, solid = facts[:7]
         counts[2] += words
         counts[3] += word_chars
