@@ -18,8 +18,8 @@ from sheafwork.session import broadcast_if_small, fresh_name, materialise
 
 #: parts in which the documents of one source are numbered, so that no task numbers a whole source
 NUMBER_PARTS = 1024
-#: up to so many rows document numbers, remaining bitmaps or lines to delete are broadcast (under 100 bytes each); beyond it they join by shuffle
-BROADCAST_ROWS = 500_000
+#: up to so many rows document numbers, remaining bitmaps or lines to delete are broadcast (some 250 bytes each); beyond it they join by shuffle
+BROADCAST_ROWS = 200_000
 
 
 def line_key(line: Column) -> Column:
