@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafwork import sinks
+from sheafwork.functions import text as X
 from sheafwork.operators import metadata as M
 from sheafwork.operators.items import ITEMS_10K, output_key
 from sheafwork.plans import acquire
@@ -23,18 +24,13 @@ from sheafwork.plans.extract import extract, long_items, with_contents, with_raw
 from sheafwork.plans.filing_queries import _ESCAPED, _KEYS_10Q, _P1, _P2, _PART1, _PART2, _TENK, _VALUES_10Q, _WHOLE2, _clean_sql, _collapse_sql, _compose, _expect, _filings, _long, _mixed, _piece
 from sheafwork.plans.registry import Registry, table
 from sheafwork.schemas import METADATA
-from sheafwork.session import scratch_dir
+from sheafwork.session import scratch_folder
 from sheafwork.sources import files
 from sheafwork.sources.fetch import FetchError, fetch_all, with_retries
 
 ARCHIVES = Registry()
 
 
-def _folder(spark: SparkSession, label: str) -> str:
-    """A new folder in the shared scratch space."""
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
 # ---- indexes ----------------------------------------------------------------------------------------------------
 
 _SIX = ["cik", "company", "filing_type", "filing_date", "complete_text_file_link", "html_index"]
@@ -57,7 +53,7 @@ def _archives(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def master_index_archives(spark, sf):
     """Zipped master indexes written and parsed: header lines skipped, short lines passed over, the page's link derived."""
     lines = table(spark, sf, "filing_index").selectExpr(f"concat_ws('|', cik, {_NAME.format('')}, filing_type, filing_date, complete_text_file_link) AS line")
-    folder = _folder(spark, "master")
+    folder = scratch_folder(spark, "master")
     sinks.write_raw(lines.mapInPandas(_archives, "filing_type string, filename string, body binary"), folder)
     return files.parse_master_index(spark, f"{folder}/idx/*.zip").drop("source_file")
 
@@ -70,7 +66,7 @@ def _by_quarter(spark: SparkSession, sf: str) -> DataFrame:
 @ARCHIVES.query(f"SELECT {', '.join(_SIX)}, company IS NULL AND cik IS NULL AS rest_is_null FROM filing_index")
 def index_tables_round_trip(spark, sf):
     """Index tables written by year and quarter and read in one scan; the other metadata columns are null."""
-    folder = _folder(spark, "index")
+    folder = scratch_folder(spark, "index")
     sinks.write_index(_by_quarter(spark, sf), folder)
     return files.read_index(spark, f"{folder}/*/*").selectExpr(*_SIX, "filename IS NOT NULL AS rest_is_null")
 
@@ -78,7 +74,7 @@ def index_tables_round_trip(spark, sf):
 @ARCHIVES.query(f"SELECT {', '.join(_SIX)} FROM filing_index WHERE year(filing_date::date) BETWEEN 2009 AND 2012 AND quarter(filing_date::date) <> 3")
 def index_files_of_periods(spark, sf):
     """One file a quarter; of the periods asked for, also long before and after, those that exist are read."""
-    folder = _folder(spark, "quarters")
+    folder = scratch_folder(spark, "quarters")
     sinks.write_index_files(_by_quarter(spark, sf).filter("year BETWEEN 2009 AND 2012"), folder)
     found = files.index_paths(spark, folder, M.periods(1990, 2040, (1, 2, 4), "2100-01-01"))
     return files.read_index(spark, [path for _, _, path in found]).select(*_SIX)
@@ -90,7 +86,7 @@ SELECT year, quarter FROM p WHERE NOT EXISTS (SELECT 1 FROM filing_index i WHERE
 )
 def index_files_to_fetch(spark, sf):
     """The quarters whose index is not yet present."""
-    folder = _folder(spark, "present")
+    folder = scratch_folder(spark, "present")
     sinks.write_index_files(_by_quarter(spark, sf), folder)
     absent = files.index_paths(spark, folder, M.periods(1990, 2040, (1, 2, 3, 4), "2100-01-01"), present=False)
     return spark.createDataFrame([(y, q) for y, q, _ in absent], "year int, quarter int")
@@ -115,7 +111,7 @@ _META = METADATA.names
 def metadata_round_trip(spark, sf):
     """The metadata table committed in two parts, the second of annual reports, and read back; missing values stay null."""
     rows = table(spark, sf, "filing_index").select(*_META)
-    held = sinks.MetadataTable(spark, _folder(spark, "metadata"))
+    held = sinks.MetadataTable(spark, scratch_folder(spark, "metadata"))
     held.append(rows.filter("filing_type <> '10-K' OR filing_type IS NULL"))
     held.append(rows.filter("filing_type = '10-K'"))
     return held.read().select(*_META)
@@ -124,7 +120,7 @@ def metadata_round_trip(spark, sf):
 @ARCHIVES.query("SELECT cik_str AS name FROM company_tickers UNION ALL SELECT ticker FROM company_tickers WHERE ticker IS NOT NULL")
 def company_name_lines(spark, sf):
     """Company numbers and tickers from a file of lines with blanks around them and empty lines between."""
-    folder = _folder(spark, "names")
+    folder = scratch_folder(spark, "names")
     table(spark, sf, "company_tickers").selectExpr("explode(array(concat('  ', cik_str, ' '), '', '   ', ticker)) AS line").filter("line IS NOT NULL").write.text(folder)
     return files.read_names(spark, folder)
 
@@ -133,7 +129,7 @@ def company_name_lines(spark, sf):
 def ticker_object(spark, sf):
     """Tickers from one JSON object, in the order of tickers."""
     entries = table(spark, sf, "company_tickers").distinct().select(F.struct(F.concat_ws(" ", "ticker", "cik_str"), F.struct("cik_str", "ticker")).alias("e"))
-    path = _folder(spark, "tickers")
+    path = scratch_folder(spark, "tickers")
     # one object is one row by its nature; there is one entry per listed company
     entries.agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("value")).coalesce(1).write.text(path)
     return files.read_tickers(spark, path)
@@ -150,7 +146,7 @@ def _companies(spark: SparkSession, sf: str) -> DataFrame:
 @ARCHIVES.query(_COMPANY_ROWS)
 def company_attributes_round_trip(spark, sf):
     """Company attributes written as one JSON object and read back; nulls stay null."""
-    path = f"{_folder(spark, 'companies')}/companies.json"
+    path = f"{scratch_folder(spark, 'companies')}/companies.json"
     sinks.write_companies(_companies(spark, sf), path)
     return files.read_companies(spark, path).select("cik", "company_name", "sic", "state_location", "state_of_inc", "fiscal_year_end")
 
@@ -273,7 +269,7 @@ def _stored(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
     """Filings with their own form type and name; those with a first item have a raw file in the folder."""
     rows = table(spark, sf, "extracted_filings").select("filename", "filing_type", "item_1", "item_7").dropDuplicates(["filename"])
     rows = rows.withColumn("filing_type", F.regexp_replace("filing_type", "/", "_"))
-    folder = _folder(spark, "raw")
+    folder = scratch_folder(spark, "raw")
     sinks.write_raw(rows.filter("item_1 IS NOT NULL").select("filing_type", "filename", F.encode(F.expr(_RAW), "UTF-8").alias("body")), folder)
     return rows.select("filename", "filing_type"), folder
 
@@ -311,7 +307,7 @@ def extracted_files(spark, sf):
     """One JSON file per extracted filing, written and read back."""
     renamed = {"filing_html_index": "html_index", "htm_filing_link": "htm_file_link", "complete_text_filing_link": "complete_text_file_link"}
     found = extract(_mixed(spark, sf)).withColumnsRenamed(renamed)
-    folder = _folder(spark, "extracted")
+    folder = scratch_folder(spark, "extracted")
     sinks.write_filings(found, folder)
     return spark.read.schema("filename string, cik string, company string, filing_html_index string, item_2 string, item_16 string").json(f"{folder}/*/*.json", multiLine=True)
 
@@ -361,3 +357,46 @@ _FOURTH = _collapse_sql(_clean_sql(f"concat(chr(10), 'Item 4. ', {_piece('item_9
 def items_10q_toc_part2(spark, sf):
     """A table of contents names both parts: their headers there are passed over."""
     return _long(spark, sf, _TENQ_TOC, "10-Q").filter("key <> 'part_1'")
+
+
+_NO_HEADER_1 = f"concat({_TOC_10Q}, chr(10), 'front matter', {_LONG_1}, ' ', chr(10), 'PART II', {_PART2}, chr(10), 'SIGNATURES', chr(10), 'by')"
+_BEFORE_2 = _collapse_sql(_clean_sql(f"concat({_TOC_10Q}, chr(10), 'front matter', {_LONG_1}, ' ')"))
+
+
+# the longest stretch up to a second item begins where the contents name the first item of part two
+_FIRST = _collapse_sql(_clean_sql("concat(" + ", ".join(f"chr(10), 'Item {k}. {n}'" for n, k in enumerate(_P2, 30)) + f", chr(10), 'front matter', chr(10), 'Item 1. ', {_piece('item_1')})"))
+
+
+@ARCHIVES.query(_expect(["part_1", *_KEYS_10Q[:4], "part_2", *_KEYS_10Q[4:]], _VALUES_10Q | {"part_1": _BEFORE_2, "part_2": _WHOLE2, "part_1_item_1": _FIRST, "part_1_item_4": _FOURTH}))
+def items_10q_excess(spark, sf):
+    """Part one is named only in the contents, so part two would run over both: headers are passed over until it does not."""
+    return _long(spark, sf, _NO_HEADER_1, "10-Q")
+
+
+_MENTION = "chr(10), 'Part II, Item 1A of our annual report', repeat(' tells of further risks', 20)"
+_WIDE = f"concat(chr(10), 'Part I', {_PART1}, {_MENTION}, ' ', chr(10), 'PART II', {_PART2}, chr(10), 'SIGNATURE', chr(10), 'by')"
+_WIDE_1 = _collapse_sql(_clean_sql(f"concat(chr(10), 'Part I', {_PART1}, {_MENTION}, ' ')"))
+_WIDE_4 = _collapse_sql(_clean_sql(f"concat(chr(10), 'Item 4. ', {_piece('item_9a')}, {_MENTION})"))
+
+
+@ARCHIVES.query(_expect(["part_1", *_KEYS_10Q[:4], "part_2", *_KEYS_10Q[4:]], _VALUES_10Q | {"part_1": _WIDE_1, "part_2": _WHOLE2, "part_1_item_4": _WIDE_4}))
+def items_10q_wide_gap(spark, sf):
+    """A mention of part two ends part one too early: what stands before the header of part two belongs to part one."""
+    return _long(spark, sf, _WIDE, "10-Q")
+
+
+# ---- pages and line ends -----------------------------------------------------------------------------------------
+
+
+@ARCHIVES.query("SELECT doc_id, regexp_matches(text, '(?i)<td[ />]') AND regexp_matches(text, '(?i)<tr[ />]') OR coalesce(source, '') = '10-k' AS html FROM documents")
+def html_pages_told_apart(spark, sf):
+    """Documents of one source laid out in a table are pages, the others texts."""
+    page = F.when(F.col("source") == "10-k", F.concat(F.lit("<TABLE><tr align=left><TD>"), "text", F.lit("</TD></tr></TABLE>"))).otherwise(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", X.looks_like_html(page).alias("html"))
+
+
+@ARCHIVES.query("SELECT doc_id, md5(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) || chr(10) || chr(10) || 'x') AS md5 FROM documents")
+def line_ends_made_one(spark, sf):
+    """Line ends of all kinds become line feeds."""
+    odd = F.concat(F.regexp_replace("text", "\n", "\r\n"), F.lit("\r\r\nx"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(X.universal_newlines(odd)).alias("md5"))

@@ -67,6 +67,13 @@ def drop_scratch() -> None:
             _drop(spark, path)
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, dropped at the end with all others."""
+    path = f"{scratch_dir(spark)}/{label}-{os.getpid()}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage by writing ``df`` to the shared folder and reading it back.
 
@@ -74,9 +81,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     re-read, not a recomputation, and every branch sees the same rows.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{os.getpid()}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, label)
     df.write.parquet(path)
-    _SCRATCH.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
