@@ -33,7 +33,7 @@ EDIT, ACCENT, CASE_BREAK = 1.0, 1.0, 1.0
 MAX_COST = 0.0
 
 # Greek and Cyrillic letters with Latin twins.
-_TWINS = dict(zip(
+TWINS = dict(zip(
     "АВЕЅІЈКМНОРСТУХҮԚԜаеѕіјорсухһԁԛԝүҽ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹοϲϳν",
     "ABESIJKMHOPCTYXYQWaesijopcyxhdqwye" "ABEZHIKMNOPTYXCocjv",
 ))
@@ -171,7 +171,7 @@ class Automaton:
                         self._add(following, state.parent.get(joined.lower()), state.parent, state.spelt[:-1] + joined, False, cost)
                     self._add(following, state.node, state.parent, state.spelt, state.second, cost + ACCENT)
                     continue
-                first = _TWINS.get(ch) or fold_char(ch)
+                first = TWINS.get(ch) or fold_char(ch)
                 run = {(id(state.node), state.spelt): (state, cost)}
                 for letter in first:
                     ahead: dict = {}
@@ -194,12 +194,12 @@ class Automaton:
         if not _SUSPECT.search(word):
             return word, "kept"
         plain = unicodedata.normalize("NFC", "".join(map(fold_char, _DROP.sub("", word))))
-        genuine = any(_FOREIGN.match(c) and c not in _TWINS for c in plain)
+        genuine = any(_FOREIGN.match(c) and c not in TWINS for c in plain)
         if not genuine:
             spelling = self.match(word)
             if spelling is not None:
                 return spelling, "trie"
-            plain = unicodedata.normalize("NFC", "".join(_TWINS.get(c, c) for c in plain))
+            plain = unicodedata.normalize("NFC", "".join(TWINS.get(c, c) for c in plain))
         disguised = plain != word or _APART.search(word)
         return plain, "table" if disguised else "kept"
 

@@ -451,6 +451,16 @@ def _verify(table: pa.Table, threshold: float) -> pa.Table:
     return pa.table({"sig_a": pa.array(a, pa.binary()), "sig_b": pa.array(b, pa.binary()), "similarity": pa.array(x, pa.float64())})
 
 
+#: the most partitions a grouping is spread over
+MOST_PARTITIONS = 50_000
+
+
+def _sized(df: DataFrame, groups: int, key: str) -> DataFrame:
+    """``df`` in a partition per group where the session's number of partitions is lower, so tasks keep their size as the data grows."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(min(groups, MOST_PARTITIONS), key) if groups > usual else df
+
+
 def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50, limits: Limits = Limits()) -> tuple[DataFrame, DataFrame]:
     """``(members, links)`` of texts(key, field, text); similarity only within a field.
 
@@ -466,15 +476,15 @@ def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words
     buckets = max(4, int(chars / 6 / limits.bucket_runs) + 1)
     posting_buckets = max(4, buckets // 4)
     packed = scan_arrow(plain, lambda b: _pack(b, k, min_words, buckets, limits), _PACKED)
-    counted = packed.groupBy("bucket").applyInArrow(lambda t: _count(t), _PACKED)
-    chosen = materialise(counted.groupBy("batch").applyInArrow(lambda t: _choose(t, threshold, buckets, posting_buckets), _PACKED), "posted")
+    counted = _sized(packed, buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _count(t), _PACKED)
+    chosen = materialise(_sized(counted, int(chars / limits.batch_chars) + 1, "batch").groupBy("batch").applyInArrow(lambda t: _choose(t, threshold, buckets, posting_buckets), _PACKED), "posted")
 
     member_schema = "key string, field string, sig binary, gid bigint"
     members = materialise(chosen.filter(F.col("kind") == TEXTS).select("a").mapInArrow(_open_members, member_schema), "members")
     sets = members.groupBy("sig").agg(F.min("gid").alias("gid"), F.min(F.struct("key", "field")).alias("first"))
     sets = materialise(sets.select("sig", "gid", F.xxhash64("first.key", "first.field").alias("h")), "sets")
 
-    paired = materialise(chosen.filter(F.col("kind") == RUNS).groupBy("bucket").applyInArrow(lambda t: _pair_up(t, threshold, limits.list_block), _PACKED), "paired")
+    paired = materialise(_sized(chosen.filter(F.col("kind") == RUNS), posting_buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _pair_up(t, threshold, limits.list_block), _PACKED), "paired")
     short = paired.filter(F.col("kind") == RUNS).select("a").mapInArrow(_open_pairs, "gid_a bigint, gid_b bigint")
     cells = paired.filter(F.col("kind") == BLOCKS).repartition("batch", "bucket").mapInArrow(lambda b: _cells(b, threshold), _CELLS)
     long = cells.groupBy("list", "low", "high").applyInArrow(lambda t: _pair_cell(t, threshold), "gid_a bigint, gid_b bigint")

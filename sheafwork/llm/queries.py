@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafwork.llm.common import item_rows
-from sheafwork.llm.lookalikes import normalise_texts, rewritten_fields
+from sheafwork.llm.lookalikes import TWINS, normalise_texts, rewritten_fields
 from sheafwork.llm.neardup import duplicate_groups, duplicate_pairs
 from sheafwork.llm.mixing import mix
 from sheafwork.llm.packing import pack, utilisation
@@ -85,7 +85,20 @@ def p3_found(spark, sf):
     return rewritten_fields(table(spark, sf, "extracted_filings"), "filename", _P3).select("filename", "field_name").distinct()
 
 
-@LLM.query()
+def _plain_sql(column: str) -> str:
+    """The consistent form in SQL, for texts in which ligatures of f and full-width signs are the only presentation forms."""
+    wide = "list_reduce(list_transform(range({0}, {1}), lambda k: chr(k::int)), lambda x, y: x || y)"
+    out = f"regexp_replace(regexp_replace({column}, '{_HIDDEN_SQL}', '', 'g'), '{_BLANK_SQL}', ' ', 'g')"
+    out = f"translate({out}, {wide.format(0xFF01, 0xFF5F)}, {wide.format(0x21, 0x7F)})"
+    for ligature, plain in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl")):
+        out = f"replace({out}, '{ligature}', '{plain}')"
+    pieces = f"regexp_extract_all(nfc_normalize({out}), '[\\pL\\pM]+|[^\\pL\\pM]+')"
+    genuine = f"regexp_matches(regexp_replace(x, '{_TWINS_SQL}', '', 'g'), '[\u0370-\u03ff\u0400-\u052f\u1f00-\u1fff]')"
+    latin = f"translate(x, '{''.join(TWINS)}', '{''.join(TWINS.values())}')"
+    return f"CASE WHEN {column} IS NOT NULL THEN array_to_string(list_transform({pieces}, lambda x: CASE WHEN {genuine} THEN x ELSE {latin} END), '') END"
+
+
+@LLM.query("SELECT filename, " + ", ".join(f"{_plain_sql(c)} AS {c}" for c in _P3) + " FROM extracted_filings")
 def p3_normalised(spark, sf):
     return normalise_texts(table(spark, sf, "extracted_filings").select("filename", *_P3), _P3)
 
