@@ -4,8 +4,8 @@ Words of all documents are ranked by frequency.  A document's coverage rank is
 the size of the smallest frequency-ranked vocabulary that covers a fixed share of
 its running words: plain texts are covered by few frequent words, demanding ones
 need rarer ones.  Coverage rank and sentence complexity are calibrated on a
-labelled sample by SQL aggregates: each level has a centre, all levels share one
-spread, and the level of a document is that of the nearest centre, a SQL expression.
+labelled sample by SQL aggregates: levels have centres, every centre has its spread,
+and the level of a document is that of the nearest centre, a SQL expression.
 """
 
 from __future__ import annotations
@@ -224,34 +224,50 @@ def complexity(docs: DataFrame, key: str = "doc_id", text: str = "text", covered
 
 
 _TERMS = ["ln(1.0 + coverage_rank)", "ln(1.0 + mean_sentence_words)", "long_word_share", "longest_word_share"]
-#: least spread of a term within a level, so that a term that never varies does not decide alone
-LEAST_SPREAD = 0.02
+#: least spread of a term around a first and around a later centre, so that a term that never varies does not decide alone
+FIRST_SPREAD, LEAST_SPREAD = 0.02, 0.004
+#: a centre's spread counts as if so many labels more had the spread that all share
+SHARED_LABELS = 20
 
 #: texts of one level may be demanding in different ways (long sentences of plain words, short ones of long words): centres are kept per cell of these terms
 _CELL = "concat_ws(' ', cast(round(x1) AS int), cast(round(4 * x2) AS int))"
 #: a level that fewer of a cell's labels have is taken for wrong labels
 LEAST_SHARE = 0.15
 
-#: of a centre: its level, the constant and the weights of the terms; the centre whose sum is greatest is the nearest
-Discriminants = list[tuple[int, float, list[float]]]
+#: of a centre: its level, and constant, weights of the terms and of their products in a sum that is greatest for the nearest
+Discriminants = list[tuple[int, float, list[float], list[list[float]]]]
 
 
 def _nearest(found: Discriminants, terms: list[str]) -> str:
     """The number from 1 of the centre with the greatest discriminant as a SQL expression."""
-    scores = "array(" + ", ".join(" + ".join([f"({constant!r})", *[f"({w!r}) * {t}" for w, t in zip(weights, terms)]]) for _, constant, weights in found) + ")"
+    sums = []
+    for _, constant, weights, products in found:
+        parts = [f"({constant!r})", *[f"({w!r}) * {t}" for w, t in zip(weights, terms)]]
+        parts += [f"({w!r}) * {a} * {b}" for a, row in zip(terms, products) for b, w in zip(terms, row) if w]
+        sums.append(" + ".join(parts))
+    scores = f"array({', '.join(sums)})"
     return f"cast(array_position({scores}, array_max({scores})) AS int)"
 
 
 def _level(found: Discriminants, terms: list[str]) -> str:
-    return f"element_at(array({', '.join(str(y) for y, _, _ in found)}), {_nearest(found, terms)})"
+    return f"element_at(array({', '.join(str(f[0]) for f in found)}), {_nearest(found, terms)})"
+
+
+def _discriminant(level: int, centre: np.ndarray, spread: np.ndarray) -> tuple:
+    """The log density of a normal distribution around the centre, up to a constant common to all."""
+    inverse = np.linalg.inv(spread)
+    constant = -0.5 * centre @ inverse @ centre - 0.5 * np.linalg.slogdet(spread)[1]
+    products = np.triu(-inverse, 1) - 0.5 * np.diag(np.diag(inverse))
+    return level, float(constant), [float(w) for w in inverse @ centre], [[float(w) for w in row] for row in products]
 
 
 def calibrate(features: DataFrame, labels: DataFrame, key: str = "doc_id", level: str = "reading_level", rounds: int = 4, max_labels: int = 100_000) -> Discriminants:
-    """Linear discriminants of the levels' centres among at most ``max_labels`` labelled documents; none without labels.
+    """Discriminants of the levels' centres among at most ``max_labels`` labelled documents; none without labels.
 
     The first centres are the medians of a level's labels in a cell, as some
     labels are wrong.  Every round after takes means and products of the terms,
-    one SQL aggregate with a row per centre, over the labels the last round agreed with.
+    one SQL aggregate with a row per centre, over the labels the last round agreed
+    with.
     """
     sample = labels.select(F.col(key).alias("_k"), F.col(level).cast("int").alias("y")).filter(F.col("y").isNotNull()).distinct().limit(max_labels)
     rows = sample.join(features.filter(F.col("coverage_rank").isNotNull()), F.col("_k") == F.col(key))
@@ -262,27 +278,27 @@ def calibrate(features: DataFrame, labels: DataFrame, key: str = "doc_id", level
     kept = cells.filter(F.col("share") >= LEAST_SHARE).orderBy("y", "cell").collect()
     if not kept:
         return []
-    centres = [(r.y, np.array([r[x][1] for x in names])) for r in kept]
-    spread = np.average([[(r[x][2] - r[x][0]) / 1.35 for x in names] for r in kept], axis=0, weights=[r.n for r in kept])
-    found = _discriminants(centres, np.diag(1 / (spread**2 + LEAST_SPREAD**2)))
+    levels, centres = [r.y for r in kept], [np.array([r[x][1] for x in names]) for r in kept]
+    wide = np.average([[((r[x][2] - r[x][0]) / 1.35) ** 2 for x in names] for r in kept], axis=0, weights=[r.n for r in kept])
+    found = [_discriminant(y, m, np.diag(wide + FIRST_SPREAD**2)) for y, m in zip(levels, centres)]
     for _ in range(rounds):
         placed = rows.withColumn("at", F.expr(_nearest(found, names))).filter(F.expr(_level(found, names)) == F.col("y"))
         sums = placed.groupBy("at").agg(F.count("*").alias("n"), *[F.avg(x).alias(f"m{i}") for i, x in enumerate(names)], *[F.expr(f"avg(x{i} * x{j})").alias(f"p{i}_{j}") for i in range(n) for j in range(n)]).collect()
-        pooled, total = np.zeros((n, n)), 0
+        if not sums:
+            break
+        own = {}
         for r in sums:
             mean = np.array([r[f"m{i}"] for i in range(n)])
-            centres[r["at"] - 1] = (centres[r["at"] - 1][0], mean)
-            pooled += r.n * (np.array([[r[f"p{i}_{j}"] for j in range(n)] for i in range(n)]) - np.outer(mean, mean))
-            total += r.n
-        if total:
-            found = _discriminants(centres, np.linalg.inv(pooled / total + LEAST_SPREAD**2 * np.eye(n)))
+            centres[r["at"] - 1] = mean
+            own[r["at"] - 1] = (r.n, r.n * (np.array([[r[f"p{i}_{j}"] for j in range(n)] for i in range(n)]) - np.outer(mean, mean)))
+        shared = sum(c for _, c in own.values()) / sum(k for k, _ in own.values())
+        found = []
+        for at, (y, m) in enumerate(zip(levels, centres)):
+            k, c = own.get(at, (0, np.zeros((n, n))))
+            found.append(_discriminant(y, m, (c + SHARED_LABELS * shared) / (k + SHARED_LABELS) + LEAST_SPREAD**2 * np.eye(n)))
     return found
 
 
-def _discriminants(centres: list[tuple[int, np.ndarray]], inverse: np.ndarray) -> Discriminants:
-    return [(y, float(-0.5 * m @ inverse @ m), [float(w) for w in inverse @ m]) for y, m in centres]
-
-
 def reading_levels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", common: Iterable[str] = COMMON, **options) -> DataFrame:
     """Features and reading_level (of the labels' levels, 1 easy to 5 demanding) of every document.
 
