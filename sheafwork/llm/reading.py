@@ -241,12 +241,11 @@ Discriminants = list[tuple[int, float, list[float], list[list[float]]]]
 def _nearest(found: Discriminants, terms: list[str]) -> str:
     """The number from 1 of the centre with the greatest discriminant as a SQL expression."""
     sums = []
-    for _, constant, weights, products in found:
+    for at, (_, constant, weights, products) in enumerate(found, 1):
         parts = [f"({constant!r})", *[f"({w!r}) * {t}" for w, t in zip(weights, terms)]]
         parts += [f"({w!r}) * {a} * {b}" for a, row in zip(terms, products) for b, w in zip(terms, row) if w]
-        sums.append(" + ".join(parts))
-    scores = f"array({', '.join(sums)})"
-    return f"cast(array_position({scores}, array_max({scores})) AS int)"
+        sums.append(f"named_struct('sum', {' + '.join(parts)}, 'at', {at})")
+    return f"greatest({', '.join(sums)}).at" if len(sums) > 1 else "1"
 
 
 def _level(found: Discriminants, terms: list[str]) -> str:
@@ -264,6 +263,8 @@ def _discriminant(level: int, centre: np.ndarray, spread: np.ndarray) -> tuple:
 def calibrate(features: DataFrame, labels: DataFrame, key: str = "doc_id", level: str = "reading_level", rounds: int = 4, max_labels: int = 100_000) -> Discriminants:
     """Discriminants of the levels' centres among at most ``max_labels`` labelled documents; none without labels.
 
+    ``features`` holds the terms as _x0, _x1, ...
+
     The first centres are the medians of a level's labels in a cell, as some
     labels are wrong.  Every round after takes means and products of the terms,
     one SQL aggregate with a row per centre, over the labels the last round agreed
@@ -271,8 +272,8 @@ def calibrate(features: DataFrame, labels: DataFrame, key: str = "doc_id", level
     """
     sample = labels.select(F.col(key).alias("_k"), F.col(level).cast("int").alias("y")).filter(F.col("y").isNotNull()).distinct().limit(max_labels)
     rows = sample.join(features.filter(F.col("coverage_rank").isNotNull()), F.col("_k") == F.col(key))
-    rows = materialise(rows.select(*[F.expr(t).cast("double").alias(f"x{i}") for i, t in enumerate(_TERMS)], "y").withColumn("cell", F.expr(_CELL)), "labels")
     n, names = len(_TERMS), [f"x{i}" for i in range(len(_TERMS))]
+    rows = materialise(rows.select(*[F.col(f"_{x}").alias(x) for x in names], "y").withColumn("cell", F.expr(_CELL)), "labels")
     middle = [F.expr(f"percentile_approx({x}, array(0.25, 0.5, 0.75))").alias(x) for x in names]
     cells = rows.groupBy("y", "cell").agg(F.count("*").alias("n"), *middle).withColumn("share", F.expr("n / sum(n) OVER (PARTITION BY cell)"))
     kept = cells.filter(F.col("share") >= LEAST_SHARE).orderBy("y", "cell").collect()
@@ -307,8 +308,10 @@ def reading_levels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     frequent words in ``common``, from tables, lists, junk and other languages,
     whose level is that of the little running text they have.
     """
-    features = materialise(complexity(docs, key, text, common=common, **options), "complexity")
-    found = calibrate(features, labels, key)
+    # the terms are written with the features, as every discriminant uses them
+    features = complexity(docs, key, text, common=common, **options)
+    scored = materialise(features.withColumns({f"_x{i}": F.expr(t).cast("double") for i, t in enumerate(_TERMS)}), "complexity")
+    found = calibrate(scored, labels, key)
     prose = (F.col("prose_share") >= 1 - NOT_PROSE) & (F.col("english_share") > ENGLISH) & (F.col("body_chars") >= STUB_CHARS)
-    level = F.expr(f"CASE WHEN coverage_rank IS NOT NULL THEN {_level(found, _TERMS)} END") if found else F.lit(None).cast("int")
-    return features.select("*", level.alias("reading_level"), prose.alias("is_english_prose"))
+    level = F.expr(f"CASE WHEN coverage_rank IS NOT NULL THEN {_level(found, [f'_x{i}' for i in range(len(_TERMS))])} END") if found else F.lit(None).cast("int")
+    return scored.select(*features.columns, level.alias("reading_level"), prose.alias("is_english_prose"))
