@@ -14,14 +14,18 @@ single text come first and can match nothing, so they need no posting.
     brings its bucket a few entries per batch of texts.
 2.  Texts with equal size and equal posted prefix, all exact copies among them,
     collapse into one group.  Groups, not texts, are posted, again as packed
-    arrays, and joined on the posted runs, filtered by size and position.
+    arrays, and joined on the posted runs, filtered by size and position.  Two
+    sets must share not one but up to ``SHARED`` runs of prefixes longer by as
+    many, so that pairs with one rare run in common, whose number grows as the
+    square of the texts, go no further than a line of two numbers.
 3.  Members of the groups are expanded to their different sets, and each pair of
     sets is verified exactly: a set meets up to ``partners`` of its partners at a
     time, so it travels once per so many pairs.
 
 Nothing is sampled or capped and no list of a run's texts is dropped.  A list
 longer than ``list_block`` is cut into blocks, each sent once, whose pairs are
-made and compared by separate tasks.
+made and compared by separate tasks.  Shuffle files and tables are dropped as
+soon as the step that reads them is done.
 """
 
 from __future__ import annotations
@@ -39,11 +43,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork.llm.common import scan_arrow
-from sheafwork.session import broadcast_if_small, materialise
+from sheafwork.session import broadcast_if_small, drop_table, materialise, shuffles_dropped
 
 _WORDS = re.compile(r"[^\W_]+")
 #: cells in which a batch's runs are counted to find those that may be frequent
 LOW_BITS = 1 << 20
+#: the most runs asked of a pair's prefixes; VOTES can be divided by one less and all below
+SHARED = 8
+VOTES = 420
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
 
@@ -132,15 +139,15 @@ def _ipc(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _by_bucket(values: np.ndarray, owner: np.ndarray, n_owners: int, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(bucket, positions of its values with owners in order, values per owner); ``owner`` must ascend."""
+def _by_bucket(values: np.ndarray, owner: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(bucket, positions of its values, their owners in order); ``owner`` must ascend."""
     bucket = (values % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for b in range(buckets):
         at = order[ends[b] : ends[b + 1]]
         if len(at):
-            yield b, at, np.bincount(owner[at], minlength=n_owners)
+            yield b, at, owner[at]
 
 
 def _short(runs: np.ndarray, buckets: int) -> np.ndarray:
@@ -159,6 +166,28 @@ def _unsmall(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, f"<u{blob[0]}", offset=1).astype(np.int64)
 
 
+def _owners(owner: np.ndarray) -> bytes:
+    """Ascending owners as counts per owner or, where most owners have none, as steps from one to the next (first byte 0)."""
+    steps, counts = _small(np.diff(owner, prepend=0)), _small(np.bincount(owner))
+    return counts if len(counts) <= len(steps) else b"\0" + steps
+
+
+def _unowners(blob: bytes) -> np.ndarray:
+    if blob[0] == 0:
+        return np.cumsum(_unsmall(blob[1:]))
+    counts = _unsmall(blob)
+    return np.repeat(np.arange(len(counts)), counts)
+
+
+def _joined(*blobs: bytes) -> bytes:
+    return np.array([len(x) for x in blobs], np.uint32).tobytes() + b"".join(blobs)
+
+
+def _parted(blob: bytes, n: int) -> list[bytes]:
+    ends = np.cumsum(np.r_[4 * n, np.frombuffer(blob, np.uint32, n)])
+    return [blob[x:y] for x, y in zip(ends, ends[1:])]
+
+
 def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: int, limits: Limits) -> Iterator[pa.RecordBatch]:
     """Texts to rows of packed runs per bucket, and one row with the batch's texts."""
     hasher = RunHasher(k)
@@ -186,9 +215,9 @@ def _pack(batches: Iterator[pa.RecordBatch], k: int, min_words: int, buckets: in
         light[maybe[many]] = False
         runs, owner = runs[light], owner[light]
         rest = (runs // np.uint64(buckets)).astype(np.uint32)
-        rows += [(RUNS, b, name, rest[at].tobytes(), _small(per)) for b, at, per in _by_bucket(runs, owner, len(sets), buckets)]
+        rows += [(RUNS, b, name, rest[at].tobytes(), _owners(own)) for b, at, own in _by_bucket(runs, owner, buckets)]
         rest = (shared // np.uint64(buckets)).astype(np.uint32)
-        rows += [(COUNTED, b, name, rest[at].tobytes(), times[at].tobytes()) for b, at, _ in _by_bucket(shared, np.zeros(len(shared), np.int64), 1, buckets)]
+        rows += [(COUNTED, b, name, rest[at].tobytes(), times[at].tobytes()) for b, at, _ in _by_bucket(shared, np.zeros(len(shared), np.int64), buckets)]
         return _packed(rows)
 
     docs, sets, chars = [], [], 0
@@ -240,9 +269,7 @@ def _count(table: pa.Table) -> pa.Table:
             continue
         keep = g > 1
         if keep.any():
-            per = _unsmall(blob)
-            left = np.bincount(np.repeat(np.arange(len(per)), per)[keep], minlength=len(per))
-            out.append((RUNS, bucket, name, r[keep].tobytes() + g[keep].tobytes(), _small(left)))
+            out.append((RUNS, bucket, name, r[keep].tobytes() + g[keep].tobytes(), _owners(_unowners(blob)[keep])))
     return pa.Table.from_batches([_packed(out)])
 
 
@@ -259,8 +286,7 @@ def _choose(table: pa.Table, threshold: float, buckets: int, posting_buckets: in
         if kind == COUNTED:
             counted.append((r, g))
         else:
-            per = _unsmall(b)
-            parts.append((r, np.repeat(np.arange(len(per)), per), g))
+            parts.append((r, _unowners(b), g))
     if counted:
         m = int(np.frombuffer(held, np.uint32, 1)[0])
         shared, times = np.frombuffer(held, np.uint64, m, 4), np.frombuffer(held, np.uint32, m, 4 + 8 * m)
@@ -296,10 +322,10 @@ def _choose(table: pa.Table, threshold: float, buckets: int, posting_buckets: in
     owner = np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes])
     position = np.concatenate([np.arange(f + 1, f + 1 + len(p)) for f, p in zip(facts[:, 3], prefixes)])
     rest = (runs // np.uint64(posting_buckets)).astype(np.uint32)
-    for b, at, counts in _by_bucket(runs, owner, len(prefixes), posting_buckets):
-        held = counts > 0
-        table = facts[held][:, :3].tobytes() + counts[held].astype(np.int64).tobytes()
-        rows.append((RUNS, b, name, rest[at].tobytes() + position[at].astype(np.uint32).tobytes(), table))
+    for b, at, own in _by_bucket(runs, owner, posting_buckets):
+        held, counts = np.unique(own, return_counts=True)
+        gid, n, shared, _ = facts[held].T
+        rows.append((RUNS, b, name, _joined(rest[at].tobytes(), _small(position[at])), _joined(gid.tobytes(), _small(n), _small(shared), _small(counts))))
     return pa.Table.from_batches([_packed(rows)])
 
 
@@ -307,12 +333,11 @@ def _post_entries(table: pa.Table) -> tuple[np.ndarray, ...]:
     """run, gid, n, shared, position of all postings of a bucket, each group once per run."""
     out = []
     for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist()):
-        m = len(a) // 8
-        facts = np.frombuffer(b, np.int64)
-        g = len(facts) // 4
-        gid, n, shared = facts[: 3 * g].reshape(g, 3).T
-        at = np.repeat(np.arange(g), facts[3 * g :])
-        out.append((np.frombuffer(a, np.uint32, m), gid[at], n[at], shared[at], np.frombuffer(a, np.uint32, m, 4 * m).astype(np.int64)))
+        runs, position = _parted(a, 2)
+        gid, *facts = _parted(b, 4)
+        n, shared, counts = map(_unsmall, facts)
+        at = np.repeat(np.arange(len(n)), counts)
+        out.append((np.frombuffer(runs, np.uint32), np.frombuffer(gid, np.int64)[at], n[at], shared[at], _unsmall(position)))
     run, gid, n, shared, pos = (np.concatenate(x) for x in zip(*out))
     order = np.lexsort((gid, n, run))
     run, gid, n, shared, pos = (x[order] for x in (run, gid, n, shared, pos))
@@ -320,18 +345,37 @@ def _post_entries(table: pa.Table) -> tuple[np.ndarray, ...]:
     return tuple(x[first] for x in (run, gid, n, shared, pos))
 
 
-def _passes(a: np.ndarray, b: np.ndarray, gid, n, shared, pos, t: float) -> np.ndarray:
-    """Which pairs (a is the smaller) may reach the threshold."""
-    na, nb = n[a], n[b]
+def _asked(na: np.ndarray, nb: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of sizes na <= nb: the least overlap, and how many runs their prefixes must share.
+
+    The first x common runs stand among the first ``n - need + x`` runs of both
+    sets, which are posted while they are no more than ``n - ceil(t * n) + 1``.
+    """
     need = np.ceil(t / (1 + t) * (na + nb) - 1e-9)
-    reach = 1 + np.minimum(na - pos[a], nb - pos[b])
-    indexed = pos[a] <= na - np.ceil(2 * t / (1 + t) * na - 1e-9) + 1
-    return indexed & (na >= t * nb - 1e-9) & (reach >= need) & (np.minimum(shared[a], shared[b]) >= need) & (gid[a] != gid[b])
+    return need, np.clip(need - np.ceil(t * nb - 1e-9) + 1, 1, SHARED)
 
 
-def _list_pairs(lo: np.ndarray, hi: np.ndarray, facts: tuple, t: float) -> np.ndarray:
-    """Pairs (i, j) with i in 0..len(lo), lo[i] <= j < hi[i], that pass; made in bounded steps."""
-    out = []
+def _passes(a: np.ndarray, b: np.ndarray, gid, n, shared, pos, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs (a is the smaller) may reach the threshold by this run, and the run's share of the VOTES they need."""
+    na, nb = n[a], n[b]
+    need, asked = _asked(na, nb, t)
+    reach = asked + np.minimum(na - pos[a], nb - pos[b])
+    ok = (na >= t * nb - 1e-9) & (reach >= need) & (np.minimum(shared[a], shared[b]) >= need) & (gid[a] != gid[b])
+    # runs of a set are told apart by 32 bits in a bucket: two of them may be one here, so one less is asked
+    return ok, (VOTES // np.maximum(asked - 1, 1)).astype(np.int64)
+
+
+def _added(pairs: np.ndarray, votes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, with the sum of its votes, no more than it needs."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs, votes = pairs[order], votes[order]
+    first = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)][: len(pairs)])
+    return pairs[first], np.minimum(np.add.reduceat(votes, first), VOTES) if len(first) else votes
+
+
+def _list_votes(lo: np.ndarray, hi: np.ndarray, facts: tuple, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) with i in 0..len(lo), lo[i] <= j < hi[i], that pass, and their votes; made in bounded steps."""
+    out = [(np.empty((0, 2), np.int64), np.empty(0, np.int64))]
     width = np.maximum(hi - lo, 0)
     steps = np.searchsorted(np.cumsum(width), np.arange(0, width.sum() + 1, 2_000_000)[1:]) if width.sum() > 2_000_000 else []
     marks = [0, *[int(s) + 1 for s in steps], len(lo)]
@@ -341,11 +385,14 @@ def _list_pairs(lo: np.ndarray, hi: np.ndarray, facts: tuple, t: float) -> np.nd
         w = width[x:y]
         a = np.repeat(np.arange(x, y), w)
         b = np.arange(len(a)) - np.repeat(np.cumsum(w) - w, w) + np.repeat(lo[x:y], w)
-        ok = _passes(a, b, *facts, t)
+        ok, votes = _passes(a, b, *facts, t)
         g = facts[0]
-        pair = np.stack([np.minimum(g[a[ok]], g[b[ok]]), np.maximum(g[a[ok]], g[b[ok]])], axis=1)
-        out.append(np.unique(pair, axis=0))
-    return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
+        out.append(_added(np.stack([np.minimum(g[a[ok]], g[b[ok]]), np.maximum(g[a[ok]], g[b[ok]])], axis=1), votes[ok]))
+    return _added(*(np.concatenate(x) for x in zip(*out)))
+
+
+def _list_pairs(lo: np.ndarray, hi: np.ndarray, facts: tuple, t: float) -> np.ndarray:
+    return _list_votes(lo, hi, facts, t)[0]
 
 
 def _pair_up(table: pa.Table, t: float, block: int) -> pa.Table:
@@ -358,7 +405,8 @@ def _pair_up(table: pa.Table, t: float, block: int) -> pa.Table:
     lo, hi = np.arange(len(run)) + 1, ends.copy()
     long = np.repeat(sizes > block, sizes)
     hi[long] = 0
-    rows = [(RUNS, 0, "", _list_pairs(lo, hi, tuple(facts), t).tobytes(), None)]
+    pairs, votes = _list_votes(lo, hi, tuple(facts), t)
+    rows = [(RUNS, 0, "", pairs.tobytes(), _small(votes))]
     for s, size in zip(starts[sizes > block], sizes[sizes > block]):
         blocks = [np.stack([f[i : min(i + block, s + size)] for f in facts]) for i in range(s, s + size, block)]
         reach = np.array([(x[1, 0], x[1, -1]) for x in blocks], np.int64).tobytes()  # least and greatest size of each block
@@ -366,14 +414,17 @@ def _pair_up(table: pa.Table, t: float, block: int) -> pa.Table:
     return pa.Table.from_batches([_packed(rows)])
 
 
+_PAIRS = "gid_a bigint, gid_b bigint, votes int"
+
+
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for blob in batch.column(0).to_pylist():
-            yield _as_pairs(np.frombuffer(blob, np.int64).reshape(-1, 2))
+        for pairs, votes in zip(*(c.to_pylist() for c in batch.columns)):
+            yield _as_pairs(np.frombuffer(pairs, np.int64).reshape(-1, 2), _unsmall(votes))
 
 
-def _as_pairs(pairs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["gid_a", "gid_b"])
+def _as_pairs(pairs: np.ndarray, votes: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(votes.astype(np.int32))], names=["gid_a", "gid_b", "votes"])
 
 
 _CELLS = "list string, low bigint, high bigint, at bigint, block binary"
@@ -399,7 +450,7 @@ def _pair_cell(table: pa.Table, t: float) -> pa.Table:
     else:
         facts = np.concatenate(blocks, axis=1)
         lo, hi = np.full(m, m), np.full(m, facts.shape[1])
-    return pa.Table.from_batches([_as_pairs(_list_pairs(lo, hi, tuple(facts), t))])
+    return pa.Table.from_batches([_as_pairs(*_list_votes(lo, hi, tuple(facts), t))])
 
 
 _SETS = "sig binary, runs array<bigint>"
@@ -461,6 +512,12 @@ def _sized(df: DataFrame, groups: int, key: str) -> DataFrame:
     return df.repartition(min(groups, MOST_PARTITIONS), key) if groups > usual else df
 
 
+def _settle(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written and read back; the shuffle files behind it go at once, not when the driver collects its garbage."""
+    with shuffles_dropped(df.sparkSession):
+        return materialise(df, label)
+
+
 def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50, limits: Limits = Limits()) -> tuple[DataFrame, DataFrame]:
     """``(members, links)`` of texts(key, field, text); similarity only within a field.
 
@@ -477,24 +534,30 @@ def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words
     posting_buckets = max(4, buckets // 4)
     packed = scan_arrow(plain, lambda b: _pack(b, k, min_words, buckets, limits), _PACKED)
     counted = _sized(packed, buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _count(t), _PACKED)
-    chosen = materialise(_sized(counted, int(chars / limits.batch_chars) + 1, "batch").groupBy("batch").applyInArrow(lambda t: _choose(t, threshold, buckets, posting_buckets), _PACKED), "posted")
+    batches = int(chars / limits.batch_chars) + 1
+    chosen = _settle(_sized(counted, batches, "batch").groupBy("batch").applyInArrow(lambda t: _choose(t, threshold, buckets, posting_buckets), _PACKED), "posted")
 
     member_schema = "key string, field string, sig binary, gid bigint"
-    members = materialise(chosen.filter(F.col("kind") == TEXTS).select("a").mapInArrow(_open_members, member_schema), "members")
+    members = _settle(chosen.filter(F.col("kind") == TEXTS).select("a").mapInArrow(_open_members, member_schema), "members")
     sets = members.groupBy("sig").agg(F.min("gid").alias("gid"), F.min(F.struct("key", "field")).alias("first"))
-    sets = materialise(sets.select("sig", "gid", F.xxhash64("first.key", "first.field").alias("h")), "sets")
+    sets = _settle(sets.select("sig", "gid", F.xxhash64("first.key", "first.field").alias("h")), "sets")
 
-    paired = materialise(_sized(chosen.filter(F.col("kind") == RUNS), posting_buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _pair_up(t, threshold, limits.list_block), _PACKED), "paired")
-    short = paired.filter(F.col("kind") == RUNS).select("a").mapInArrow(_open_pairs, "gid_a bigint, gid_b bigint")
+    paired = _settle(_sized(chosen.filter(F.col("kind") == RUNS), posting_buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _pair_up(t, threshold, limits.list_block), _PACKED), "paired")
+    drop_table(chosen)
+    short = paired.filter(F.col("kind") == RUNS).select("a", "b").mapInArrow(_open_pairs, _PAIRS)
     cells = paired.filter(F.col("kind") == BLOCKS).repartition("batch", "bucket").mapInArrow(lambda b: _cells(b, threshold), _CELLS)
-    long = cells.groupBy("list", "low", "high").applyInArrow(lambda t: _pair_cell(t, threshold), "gid_a bigint, gid_b bigint")
-    groups = short.unionByName(long).distinct()
+    long = cells.groupBy("list", "low", "high").applyInArrow(lambda t: _pair_cell(t, threshold), _PAIRS)
+    # the runs that a pair shares are in many buckets; most pairs share too few of them
+    groups = _settle(short.unionByName(long).groupBy("gid_a", "gid_b").agg(F.sum("votes").alias("votes")).filter(F.col("votes") >= VOTES).select("gid_a", "gid_b"), "groups")
+    drop_table(paired)
     left, right = (sets.select(F.col("gid").alias(f"gid_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("h").alias(f"h_{s}")) for s in "ab")
     across = groups.join(left, "gid_a").join(right, "gid_b").select("sig_a", "h_a", "sig_b", "h_b")
     same = left.join(right, (F.col("gid_a") == F.col("gid_b")) & (F.col("sig_a") < F.col("sig_b"))).select("sig_a", "h_a", "sig_b", "h_b")
-    candidates = materialise(across.unionByName(same), "candidates")
+    candidates = _settle(across.unionByName(same), "candidates")
+    drop_table(groups)
+    drop_table(sets)
 
-    wanted = materialise(candidates.select(F.explode(F.array("h_a", "h_b")).alias("h")).distinct(), "wanted")
+    wanted = _settle(candidates.select(F.explode(F.array("h_a", "h_b")).alias("h")).distinct(), "wanted")
     small, few = broadcast_if_small(wanted, limits.broadcast_rows)
     hashed = plain.select(F.xxhash64("key", "field").alias("h"), "field", "text")
     if few:
@@ -504,22 +567,36 @@ def similar_sets(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words
         fetched = scan_arrow(hashed, lambda b: _fetch_sets(b, k, shared.value), _SETS)
     # a set meets its partners in rows of ``partners``, so it travels once for so many of its pairs
     hubs = candidates.select(F.col("sig_a").alias("hub"), "sig_b", F.expr(f"cast(floor((row_number() OVER (PARTITION BY sig_a ORDER BY sig_b) - 1) / {limits.partners}) AS int)").alias("chunk"))
-    hubs = materialise(hubs, "hubs")
+    hubs = _settle(hubs, "hubs")
+    drop_table(candidates)
     sides = hubs.select("hub", "chunk", F.col("sig_b").alias("sig"), F.lit(False).alias("left")).unionByName(hubs.select("hub", "chunk", F.col("hub").alias("sig"), F.lit(True).alias("left")).distinct())
     sides, _ = broadcast_if_small(sides, limits.broadcast_rows)
     links = fetched.join(sides, "sig").groupBy("hub", "chunk").applyInArrow(lambda t: _verify(t, threshold), "sig_a binary, sig_b binary, similarity double").distinct()
+    links = _settle(links, "links")
+    drop_table(wanted)
+    drop_table(hubs)
     return members.select("key", "field", "sig").distinct(), links
 
 
-def duplicate_pairs(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50, limits: Limits = Limits()) -> DataFrame:
-    """Every pair of different keys (key_a < key_b) similar in some field, copies included; one row per pair and field."""
+def _every_pair(texts: DataFrame, threshold: float, k: int, min_words: int, limits: Limits) -> DataFrame:
+    """The pairs of ``duplicate_pairs``; one of keys with several texts in a field may come more than once."""
     members, links = similar_sets(texts, threshold, k, min_words, limits)
-    m = materialise(members, "members")
+    m = _settle(members, "members")
     a, b = (m.select("field", F.col("sig").alias(f"sig_{s}"), F.col("key").alias(f"k{s}")) for s in "ab")
     across = links.join(a, "sig_a").join(b.drop("field"), "sig_b").select("field", "ka", "kb", "similarity")
     copies = m.alias("x").join(m.alias("y"), F.expr("x.sig = y.sig AND x.key < y.key")).select("x.field", F.col("x.key").alias("ka"), F.col("y.key").alias("kb"), F.lit(1.0).alias("similarity"))
     every = across.unionByName(copies).filter(F.col("ka") != F.col("kb"))
-    return every.select("field", F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"), "similarity").distinct()
+    return every.select("field", F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"), "similarity")
+
+
+def duplicate_pairs(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50, limits: Limits = Limits()) -> DataFrame:
+    """Every pair of different keys (key_a < key_b) similar in some field, copies included; one row per pair and field."""
+    return _every_pair(texts, threshold, k, min_words, limits).distinct()
+
+
+def duplicate_keys(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50, limits: Limits = Limits()) -> DataFrame:
+    """(key_a, key_b) of ``duplicate_pairs`` once, in however many fields they are similar; the pairs are shuffled once."""
+    return _every_pair(texts, threshold, k, min_words, limits).select("key_a", "key_b").distinct()
 
 
 def duplicate_groups(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_words: int = 50, limits: Limits = Limits()) -> DataFrame:
@@ -530,20 +607,20 @@ def duplicate_groups(texts: DataFrame, threshold: float = 0.8, k: int = 5, min_w
     minimum propagation with pointer jumping; labels stay in tables.
     """
     members, links = similar_sets(texts, threshold, k, min_words, limits)
-    m = materialise(members, "members")
+    m = _settle(members, "members")
     ends = links.select(F.hex("sig_a").alias("a"), F.hex("sig_b").alias("b"))
-    ends = materialise(ends, "links")
+    ends = _settle(ends, "links")
     # only texts with a link or a copy can be in a group with others
     copied = m.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select(F.hex("sig").alias("set"))
     active = ends.select(F.col("a").alias("set")).union(ends.select("b")).union(copied).distinct()
-    node = materialise(m.select("key", F.hex("sig").alias("set")).join(active, "set", "left_semi").select("key", "set"), "nodes")
-    edges = materialise(ends.union(ends.select("b", "a")).union(node.select(F.col("key").alias("a"), F.col("set").alias("b"))).union(node.select("set", "key")).distinct(), "edges")
-    label = materialise(edges.groupBy("a").agg(F.min(F.least("a", "b")).alias("label")), "label")
+    node = _settle(m.select("key", F.hex("sig").alias("set")).join(active, "set", "left_semi").select("key", "set"), "nodes")
+    edges = _settle(ends.union(ends.select("b", "a")).union(node.select(F.col("key").alias("a"), F.col("set").alias("b"))).union(node.select("set", "key")).distinct(), "edges")
+    label = _settle(edges.groupBy("a").agg(F.min(F.least("a", "b")).alias("label")), "label")
     while True:
         near = edges.join(label.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         step = label.join(near, "a").select("a", F.least("label", "near").alias("new"), F.col("label").alias("old"))
         jump = label.select(F.col("a").alias("new"), F.col("label").alias("far"))
-        step = materialise(step.join(jump, "new", "left").select("a", F.least("new", F.coalesce("far", "new")).alias("label"), "old"), "step")
+        step = _settle(step.join(jump, "new", "left").select("a", F.least("new", F.coalesce("far", "new")).alias("label"), "old"), "step")
         label = step.select("a", "label")
         if step.filter(F.col("label") != F.col("old")).limit(1).count() == 0:
             break

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sheafwork.llm.common import item_rows
 from sheafwork.llm.lookalikes import TWINS, normalise_texts, rewritten_fields
-from sheafwork.llm.neardup import duplicate_groups, duplicate_pairs
+from sheafwork.llm.neardup import duplicate_groups, duplicate_keys
 from sheafwork.llm.mixing import mix
 from sheafwork.llm.packing import pack, utilisation
 from sheafwork.llm.reading import reading_levels
@@ -121,8 +121,8 @@ s AS MATERIALIZED (SELECT x.filename AS fa, y.filename AS fb, x.field, x.sig AS
 
 @LLM.query(_PAIRS_SQL + "SELECT DISTINCT least(fa, fb) AS filename_a, greatest(fa, fb) AS filename_b FROM s WHERE fa <> fb")
 def p4_found(spark, sf):
-    pairs = duplicate_pairs(_near_texts(spark, sf), threshold=0.6)
-    return pairs.select(F.col("key_a").alias("filename_a"), F.col("key_b").alias("filename_b")).distinct()
+    pairs = duplicate_keys(_near_texts(spark, sf), threshold=0.6)
+    return pairs.select(F.col("key_a").alias("filename_a"), F.col("key_b").alias("filename_b"))
 
 
 @LLM.query(

@@ -7,11 +7,14 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SCRATCH: list[tuple[SparkSession, str]] = []
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "sheafwork", cores: str | int = "*", shuffle_partitions: int | None = None) -> SparkSession:
@@ -48,7 +51,9 @@ def scratch_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def _delete(spark: SparkSession, path: str) -> None:
+    if path.startswith("file:"):
+        return shutil.rmtree(path[len("file://") :], ignore_errors=True)
     try:
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
@@ -60,11 +65,7 @@ def _drop(spark: SparkSession, path: str) -> None:
 def drop_scratch() -> None:
     """Drop all intermediate tables written so far; a long session calls it between jobs whose results it has taken."""
     while _SCRATCH:
-        spark, path = _SCRATCH.pop()
-        if path.startswith("file:"):
-            shutil.rmtree(path[len("file://") :], ignore_errors=True)
-        else:
-            _drop(spark, path)
+        _delete(*_SCRATCH.pop())
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -83,7 +84,26 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Drop a materialised table that no plan still to run reads."""
+    _SCRATCH[:] = [x for x in _SCRATCH if x[1] != df._scratch]
+    _delete(df.sparkSession, df._scratch)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that start and end in here leave no shuffle files; for those whose result is written."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:

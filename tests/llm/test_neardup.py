@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from sheafwork import session
 from sheafwork.llm import neardup as N
 from sheafwork.llm.common import scan_arrow
 
@@ -116,3 +117,46 @@ def test_groups(spark):
 def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert N.duplicate_pairs(empty).count() == 0 and N.duplicate_groups(empty).count() == 0
+
+
+def crowded(seed, n=200):
+    """Texts of few words, in which most runs are rare but in some other text, so nearly all pairs share one and few are similar."""
+    rng = random.Random(seed)
+    rows = [(f"k{i:03d}", "A", " ".join(rng.choice("abcdef") for _ in range(100))) for i in range(n)]
+    for i in range(0, 40, 2):  # copies with a few words changed
+        words = rows[i][2].split()
+        for _ in range(rng.randint(1, 4)):
+            words[rng.randrange(len(words))] = rng.choice("abcdef")
+        rows.append((f"n{i:03d}", "A", " ".join(words)))
+    return rows
+
+
+def test_pairs_with_a_rare_run_in_common_are_no_candidates(spark, monkeypatch):
+    rows, counts, write = crowded(5), {}, N.materialise
+
+    def counted(df, label):
+        out = write(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(N, "materialise", counted)
+    found = N.duplicate_pairs(spark.createDataFrame(rows, SCHEMA), 0.6)
+    expected = brute(rows, 0.6)
+    assert {(r.field, r.key_a, r.key_b) for r in found.collect()} == expected and expected
+    assert counts["candidates"] <= 2 * len(expected)
+
+
+def test_steps_leave_no_tables_or_shuffles(spark):
+    before = {path for _, path in session._SCRATCH}
+    N.similar_sets(spark.createDataFrame(crowded(6, 60), SCHEMA), 0.6)
+    left = [path for _, path in session._SCRATCH if path not in before]
+    assert {path.rpartition("/")[2].partition("-")[0] for path in left} == {"members", "links"}
+    assert spark.conf.get(session._CLEANUP) == "false"
+
+
+def test_owners_take_a_byte_a_run_however_few_have_one():
+    rng = np.random.default_rng(3)
+    for runs, owners in ((5000, 300), (200, 4000), (3, 60_000), (1, 1)):
+        owner = np.sort(rng.integers(0, owners, runs))
+        blob = N._owners(owner)
+        assert (N._unowners(blob) == owner).all() and len(blob) <= 2 + runs * (1 if runs > 100 else 2)
